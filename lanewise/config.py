@@ -109,6 +109,7 @@ class PipelineConfig:
     model_columns: tuple[str, ...] = (*ORDER_COLUMNS, *ROUTE_COLUMNS, *TARGET_COLUMNS)
     encoded_columns: tuple[str, ...] = ENCODED_COLUMNS
     max_encoded_values: int = 200
+    encoded_domain: dict[str, tuple] = field(default_factory=dict)  # values of columns not to be read off the data
     date_ranges: dict[str, tuple[str, str]] = field(default_factory=lambda: dict(DATE_RANGES))
 
     label: str = "std_actual_vattempted"

@@ -41,11 +41,14 @@ def one_hot(
 ) -> tuple[DataFrame, dict[str, list]]:
     """Add a 0/1 column `<col>_<value>` per value of each column, and return the values used.
 
-    Pass the domain of an earlier call to give other rows the same columns. Null and values outside the domain
+    Pass the domain of an earlier call to give other rows the same columns; columns it does not have are looked up
+    in the rows. Null and values outside the domain
     have 0 in all of them.
     """
-    if domain is None:
-        domain = value_domains(df, cols, max_values)
+    domain = dict(domain or {})
+    unknown = [col for col in cols if col not in domain]
+    if unknown:
+        domain.update(value_domains(df, unknown, max_values))
     indicators = [
         F.coalesce((F.col(f"`{col}`") == F.lit(value)).cast("int"), F.lit(0)).alias(f"{col}_{value}")
         for col in cols

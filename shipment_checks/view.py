@@ -20,6 +20,7 @@ def config(**changes) -> PipelineConfig:
             "core_sites": CORE_SITES,
             "late_pull_sites": LATE_PULL_SITES,
             "date_ranges": DATE_RANGES,
+            "encoded_domain": {"ffmcenter_name": CORE_SITES},
             **changes,
         }
     )
