@@ -1,4 +1,4 @@
-from lanewise.operators.dedup import drop_duplicates, first_per_key, keys_are_unique
+from lanewise.operators.dedup import drop_duplicates, first_per_key, keys_are_unique, lowest_per_key
 from lanewise.operators.encoding import one_hot, value_domains
 from lanewise.operators.joins import join_groups, lookup
 from lanewise.operators.packages import count_over, roll_up
@@ -27,6 +27,7 @@ __all__ = [
     "keys_are_unique",
     "lookup",
     "lowercase_columns",
+    "lowest_per_key",
     "one_hot",
     "roll_up",
     "select_columns",

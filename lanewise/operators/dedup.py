@@ -19,6 +19,15 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[Column], tiebre
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
 
 
+def lowest_per_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The keys with their lowest values, compared in the order given; null is lowest.
+
+    The same as `first_per_key` ordered by `values`, at less cost, for when no other columns are wanted.
+    """
+    lowest = F.min(F.struct(*values)).alias("__lowest")
+    return df.groupBy(*keys).agg(lowest).select(*keys, "__lowest.*")
+
+
 def drop_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Distinct rows; null equals null."""
     return df.select(*columns).distinct() if columns else df.distinct()

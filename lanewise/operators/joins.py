@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.operators.dedup import first_per_key, keys_are_unique
+from lanewise.operators.dedup import keys_are_unique, lowest_per_key
 
 SALT = "__salt"
 
@@ -37,7 +37,7 @@ def lookup(
     take          columns of dim to add, or {column of dim: name to give it}
     how           "left" keeps unmatched rows, "inner" drops them
     on_duplicate  "allow": a repeated key of dim repeats the row, as a plain join does
-                  "first": the lowest taken values win, nulls first
+                  "first": the lowest taken values win, compared in the order of `take`, nulls first
                   "error": a repeated key raises
     spread        for a dim too large to broadcast: copies of each dim row over which the rows of one key are
                   divided, so that a hot key is joined by that many tasks
@@ -56,8 +56,7 @@ def lookup(
     )
     dim_keys = [f"__key_{ours}" for ours in on]
     if on_duplicate == "first":
-        values = [F.col(name).asc_nulls_first() for name in take.values()]
-        side = first_per_key(side, dim_keys, values[:1], values)
+        side = lowest_per_key(side, dim_keys, list(take.values()))
     elif on_duplicate == "error" and not keys_are_unique(side, dim_keys):
         raise ValueError(f"lookup keys are not unique: {', '.join(on.values())}")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewise.operators.joins import join_groups
-from lanewise.sources.tables import stage
+from lanewise.sources.tables import stage, stage_all
 
 
 def calendar_index(df: DataFrame, date_col: str, out: str = "index") -> DataFrame:
@@ -106,10 +106,10 @@ def trailing_stats(
         for part in part_names
     ]
     daily = stage(df.groupBy(date_col, *finest).agg(*parts), name="daily")
-    calendar = stage(calendar_index(daily, date_col, index_col), partitions=1, name="calendar")
+    calendar = stage(calendar_index(daily, date_col, index_col), name="calendar")
     daily = with_calendar_index(daily, calendar, date_col)
 
-    result = with_calendar_index(df, calendar, date_col)
+    summaries, keys = {}, {}
     for group in groups:
         merged = [
             _PARTS[part][1](F.col(part_col(number, part))).alias(part_col(number, part))
@@ -131,8 +131,12 @@ def trailing_stats(
                         kind = _result_type(df.schema[value].dataType, name)
                         statistic = F.coalesce(statistic, F.lit(default).cast(kind))
                     columns.append(statistic.alias(trailing_name(name, days, value, group)))
-        summary = stage(per_day.select(index_col, *group, *columns), name="trailing")
-        result = join_groups(result, summary, [index_col, *group])
+        name = "trailing-" + "-".join(group)
+        summaries[name], keys[name] = per_day.select(index_col, *group, *columns), [index_col, *group]
+
+    result = with_calendar_index(df, calendar, date_col)
+    for name, summary in stage_all(summaries).items():
+        result = join_groups(result, summary, keys[name])
     return result
 
 

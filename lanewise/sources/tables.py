@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -62,3 +65,12 @@ def stage(df: DataFrame, path: str | None = None, partitions: int | None = None,
     path = path or staging_path(spark, name)
     write(df, path, partitions=partitions)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage independent tables side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
+        session = next(iter(tables.values())).sparkSession if tables else None
+        run = inheritable_thread_target(session)(lambda name: stage(tables[name], name=name))
+        return dict(zip(tables, pool.map(run, tables)))
+

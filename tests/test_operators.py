@@ -1,0 +1,209 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from lanewise.operators import (
+    by_date,
+    calendar_index,
+    count_over,
+    drop_duplicates,
+    first_per_key,
+    keep_between,
+    keep_in,
+    keep_present,
+    keys_are_unique,
+    lookup,
+    lowercase_columns,
+    lowest_per_key,
+    metrics,
+    one_hot,
+    quality,
+    report,
+    roll_up,
+    select_columns,
+    select_features,
+    tag_by_date,
+    value_domains,
+)
+from tests.helpers import rows
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    return spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4), ("a", 5)], "code string, n int")
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.createDataFrame([("a", "A"), ("b", None), (None, "N"), ("z", "Z")], "k string, v string")
+
+
+@pytest.mark.parametrize("spread", [1, 3])
+def test_lookup_left_and_inner(facts, dim, spread):
+    left = lookup(facts, dim, {"code": "k"}, {"v": "value"}, spread=spread)
+    assert left.columns == ["code", "n", "value"]
+    assert rows(left) == sorted(
+        [("a", 1, "A"), ("a", 5, "A"), ("b", 2, None), ("c", 3, None), (None, 4, None)], key=repr
+    )
+    inner = lookup(facts, dim, {"code": "k"}, {"v": "value"}, how="inner", spread=spread)
+    assert rows(inner) == sorted([("a", 1, "A"), ("a", 5, "A"), ("b", 2, None)], key=repr)
+
+
+@pytest.mark.parametrize("spread", [1, 3])
+def test_lookup_with_duplicate_keys(spark, facts, spread):
+    twice = spark.createDataFrame([("a", "X"), ("a", None), ("b", "B"), ("a", "X")], "code string, v string")
+    fanned = lookup(facts, twice, ["code"], ["v"], spread=spread)
+    assert fanned.count() == 5 + 4
+    first = lookup(facts, twice, ["code"], ["v"], on_duplicate="first", spread=spread)
+    assert rows(first.filter("code = 'a'")) == [("a", 1, None), ("a", 5, None)]
+    with pytest.raises(ValueError, match="not unique"):
+        lookup(facts, twice, ["code"], ["v"], on_duplicate="error")
+
+
+def test_lookup_error_mode_keeps_the_row_count(facts, dim):
+    assert lookup(facts, dim, {"code": "k"}, ["v"], on_duplicate="error").count() == facts.count()
+
+
+def test_lookup_refuses_bad_arguments(facts, dim):
+    with pytest.raises(ValueError, match="there already"):
+        lookup(facts, dim, {"code": "k"}, {"v": "N"})
+    with pytest.raises(ValueError, match="how"):
+        lookup(facts, dim, {"code": "k"}, ["v"], how="full")
+    with pytest.raises(ValueError, match="on_duplicate"):
+        lookup(facts, dim, {"code": "k"}, ["v"], on_duplicate="last")
+
+
+def test_spread_lookup_of_copies_of_one_row(spark):
+    copies = spark.range(0, 5000, 1, 8).select(F.lit("hot").alias("code"), F.lit(1).alias("n"))
+    side = spark.createDataFrame([("hot", 7)], "code string, v int")
+    out = lookup(copies, side, ["code"], ["v"], spread=4)
+    assert out.agg(F.count("*"), F.sum("v")).first() == (5000, 35000)
+
+
+def test_roll_up(spark):
+    lines = spark.createDataFrame(
+        [("p", 2.0, None, None), ("p", 3.0, 4.0, True), (None, 1.0, 1.0, False), (None, 2.0, 1.0, None)],
+        "id string, w double, h double, flag boolean",
+    )
+    out = roll_up(
+        lines, ["id"], {"size": F.max(F.col("w") * F.col("h")), "flag": F.max(F.coalesce(F.col("flag").cast("int"), F.lit(0)))}
+    )
+    assert rows(out) == sorted([("p", 12.0, 1), (None, 2.0, 0)], key=repr)
+
+
+def test_count_over_skips_null_values_and_groups_null_keys(spark):
+    df = spark.createDataFrame([("o", "1"), ("o", None), ("o", "1"), (None, "2"), (None, "3")], "o string, t string")
+    out = count_over(df, ["o"], "t", "n")
+    assert out.columns == ["o", "t", "n"]
+    assert rows(out) == sorted([("o", "1", 2), ("o", None, 2), ("o", "1", 2), (None, "2", 2), (None, "3", 2)], key=repr)
+
+
+def test_first_per_key_takes_null_first(spark):
+    df = spark.createDataFrame([("k", "B", 1), ("k", None, 2), ("k", "A", 3), ("l", "A", 5), ("l", "A", 4)], "k string, v string, n int")
+    out = first_per_key(df, ["k"], [F.col("v").asc_nulls_first()], [F.col("n").asc()])
+    assert rows(out) == [("k", None, 2), ("l", "A", 4)]
+    assert rows(lowest_per_key(df, ["k"], ["v", "n"])) == [("k", None, 2), ("l", "A", 4)]
+    with pytest.raises(ValueError, match="tiebreak"):
+        first_per_key(df, ["k"], [F.col("v").asc()], [])
+
+
+def test_duplicates(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (1, 2), (None, 3), (None, 4)], "k int, v int")
+    assert drop_duplicates(df).count() == 4
+    assert drop_duplicates(df, ["k"]).count() == 2
+    assert not keys_are_unique(df, ["k"])
+    assert keys_are_unique(df.filter("k is null"), ["k"])
+
+
+def test_calendar_index(spark):
+    days = [dt.date(2023, 1, 3), dt.date(2023, 1, 2), None, dt.date(2023, 1, 6), dt.date(2023, 1, 3)]
+    df = spark.createDataFrame([(day,) for day in days], "d date")
+    assert rows(calendar_index(df, "d").select("index", F.col("d").cast("string"))) == [
+        (1, None), (2, "2023-01-02"), (3, "2023-01-03"), (4, "2023-01-06"),
+    ]
+    with pytest.raises(TypeError, match="must be a date"):
+        calendar_index(df.select(F.col("d").cast("timestamp").alias("d")), "d")
+
+
+def test_lowercase_columns(spark):
+    df = spark.range(1).selectExpr("1 as A", "2 as b")
+    assert lowercase_columns(df).columns == ["a", "b"]
+    with pytest.raises(ValueError, match="only in case"):
+        lowercase_columns(spark.range(1).selectExpr("1 as A", "2 as a"))
+
+
+def test_select_columns_names_all_missing_ones(spark):
+    df = spark.range(1).selectExpr("1 as `avg_-7_-1_x`", "2 as b")
+    assert select_columns(df, ["b", "avg_-7_-1_x"]).columns == ["b", "avg_-7_-1_x"]
+    with pytest.raises(ValueError, match="missing columns: p, q"):
+        select_columns(df, ["p", "b", "q"])
+    assert select_features(["a", "b", "c"], ["b", "x"]) == ["a", "c"]
+
+
+def test_row_filters(spark):
+    df = spark.createDataFrame([(-1,), (0,), (10,), (11,), (None,)], "days int")
+    assert rows(keep_between(df, "days", 0, 11)) == [(0,), (10,)]
+    assert rows(keep_in(df, "days", [0, 11, 99])) == [(0,), (11,)]
+    assert keep_present(df, "days").count() == 4
+
+
+RANGES = {"train_val": ("2023-01-01", "2023-06-01"), "test": ("2023-06-01", "2023-08-01")}
+
+
+def test_date_split(spark):
+    days = ["2022-12-31", "2023-01-01", "2023-05-31", "2023-06-01", "2023-07-31", "2023-08-01", None]
+    df = spark.createDataFrame([(day,) for day in days], "text string").select(F.col("text").cast("date").alias("d"))
+    parts = {name: [str(row[0]) for row in part.orderBy("d").collect()] for name, part in by_date(df, "d", RANGES).items()}
+    assert parts == {"train_val": ["2023-01-01", "2023-05-31"], "test": ["2023-06-01", "2023-07-31"]}
+    tagged = tag_by_date(df, "d", RANGES).groupBy("tag").count()
+    assert rows(tagged) == [("test", 2), ("train_val", 2)]
+
+
+def test_one_hot(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 0), (None, None), ("b", 0)], "c string, n int")
+    out, domain = one_hot(df, ["c", "n"])
+    assert domain == {"c": ["a", "b"], "n": [0, 1]}
+    assert out.columns == ["c", "n", "c_a", "c_b", "n_0", "n_1"]
+    assert rows(out.select("c", "c_a", "c_b", "n_0", "n_1")) == sorted(
+        [("b", 0, 1, 0, 1), ("a", 1, 0, 1, 0), (None, 0, 0, 0, 0), ("b", 0, 1, 1, 0)], key=repr
+    )
+    again, _ = one_hot(spark.createDataFrame([("x", 1)], "c string, n int"), ["c", "n"], domain)
+    assert rows(again) == [("x", 1, 0, 0, 0, 1)]
+    part, _ = one_hot(df, ["c", "n"], {"c": ("a", "q")})
+    assert part.columns == ["c", "n", "c_a", "c_q", "n_0", "n_1"]
+
+
+def test_one_hot_sorts_numbers_as_numbers(spark):
+    assert value_domains(spark.range(8, 12), ["id"]) == {"id": [8, 9, 10, 11]}
+
+
+def test_one_hot_refuses_wide_domains(spark):
+    with pytest.raises(ValueError, match="more than 10 values"):
+        value_domains(spark.range(1000), ["id"], max_values=10)
+    assert len(value_domains(spark.range(10), ["id"], max_values=10)["id"]) == 10
+    with pytest.raises(TypeError, match="double"):
+        value_domains(spark.range(3).selectExpr("id / 2 as x"), ["x"])
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (None, 2), (None, 2), (3, 4)], "k int, v int")
+    row = quality.profile(df, ["k"]).first().asDict()
+    assert row == {"row_count": 5, "key_count": 3, "nulls_k": 2, "nulls_v": 2, "column_count": 2}
+    assert quality.column_types(df) == {"k": "int", "v": "int"}
+
+
+def test_metrics(spark):
+    df = spark.createDataFrame([(0, 0.4), (2, 2.5), (4, 3.0), (1, None)], "y int, p double")
+    assert metrics.exact_match(df, "y", "p").first()[0] == pytest.approx(2 / 3)
+    assert metrics.mae(df, "y", "p").first()[0] == pytest.approx(1.9 / 3)
+    expected = (0.4 / 0.01 + 0.5 / 2.01 + 1.0 / 4.01) / 3
+    assert metrics.mape(df, "y", "p").first()[0] == pytest.approx(expected)
+    assert metrics.mape(df.filter("y = 0"), "y", "p", shift=0.0).first()[0] == pytest.approx(0.4 / 2.220446049250313e-16)
+
+
+def test_report_appends_by_name(spark):
+    a = spark.createDataFrame([(1, "x")], "n int, s string")
+    b = spark.createDataFrame([("y", 2, 9)], "s string, n int, extra int")
+    out = report.build({"train_val": a, "test": b}, ["s", "n", "tag", "extra"])
+    assert rows(out) == sorted([("x", 1, "train_val", None), ("y", 2, "test", 9)], key=repr)
