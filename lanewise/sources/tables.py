@@ -69,8 +69,13 @@ def stage(df: DataFrame, path: str | None = None, partitions: int | None = None,
 
 def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage independent tables side by side, so that small ones do not wait for each other."""
-    with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
-        session = next(iter(tables.values())).sparkSession if tables else None
-        run = inheritable_thread_target(session)(lambda name: stage(tables[name], name=name))
-        return dict(zip(tables, pool.map(run, tables)))
+    if not tables:
+        return {}
 
+    def task(name: str, df: DataFrame):
+        # Wrapped one by one: each thread must have its own copy of the job properties.
+        return inheritable_thread_target(df.sparkSession)(lambda: stage(df, name=name))
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        running = {name: pool.submit(task(name, df)) for name, df in tables.items()}
+        return {name: done.result() for name, done in running.items()}

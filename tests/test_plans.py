@@ -1,0 +1,141 @@
+import datetime as dt
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from lanewise.config import BoostParams, PipelineConfig
+from lanewise.plans import job, shipments
+from lanewise.sources import TABLES, conform, write
+from shipment_checks import view
+from tests.conftest import SF_DIR
+from tests.helpers import rows
+
+LINE = {
+    "ORDER_ID": "o1", "SHIPMENT_TRACKING_NUMBER": "t1", "PRODUCT_KEY": "p1", "SHIPMENT_COUNT_OF_ITEMS_IN_BOX": 2,
+    "CARRIER_CODE": "C", "FFMCENTER_NAME": "AVP1", "RELEASE_DTTM_EST": "2023-03-01 08:00:00",
+    "SHIPMENT_SHIPPED_DTTM_EST": "2023-03-03 12:00:00", "SHIPMENT_SHIPPED_DATE": "2023-03-03",
+    "SHIPMENT_DELIVERY_DTTM_EST": "2023-03-05 10:00:00", "SHIPMENT_DELIVERY_DATE": "2023-03-05",
+    "CUSTOMER_POSTCODE": "00501", "SHIPMENT_SHIP_ROUTE": "R1", "SHIPMENT_ESTIMATED_DELIVERY_DATE": "2023-03-06",
+    "STD_ACTUAL": 2, "STD_V0": None, "ACTUAL_ZONE": 4, "INITIAL_DELIVERY_ATTEMPT_DTTM_EST": "2023-03-04 09:00:00",
+    "INITIAL_SHIPMENT_DELIVERY_ATTEMPT_DATE": "2023-03-04", "WAREHOUSE_EXPECTED_WEIGHT": 3.0,
+    "WAREHOUSE_EXPECTED_HEIGHT": 1.0, "WAREHOUSE_EXPECTED_LENGTH": 2.0, "WAREHOUSE_EXPECTED_WIDTH": 3.0,
+}
+
+
+def lines(spark, *changes):
+    text = ", ".join(f"{field.name} {'double' if 'WAREHOUSE' in field.name else 'int' if field.dataType.typeName() == 'integer' else 'string'}" for field in TABLES["shipment_lines"])
+    return conform(spark.createDataFrame([tuple({**LINE, **change}.values()) for change in changes], text), TABLES["shipment_lines"])
+
+
+@pytest.fixture
+def tables(spark):
+    def make(name, data):
+        text = ", ".join(f"{field.name} {field.dataType.simpleString() if field.dataType.typeName() != 'date' else 'string'}" for field in TABLES[name])
+        return conform(spark.createDataFrame(data, text), TABLES[name])
+
+    history = ("2023-03-01", "AVP1", "R1", "00501", "C")
+    return {
+        "shipment_lines": lines(
+            spark,
+            {},
+            {"PRODUCT_KEY": "p2", "WAREHOUSE_EXPECTED_HEIGHT": 5.0},
+            {"SHIPMENT_TRACKING_NUMBER": "t2", "PRODUCT_KEY": "p3", "INITIAL_DELIVERY_ATTEMPT_DTTM_EST": None, "STD_V0": 3, "WAREHOUSE_EXPECTED_WIDTH": None},
+            {"ORDER_ID": "o2", "SHIPMENT_TRACKING_NUMBER": "t3", "ACTUAL_ZONE": None},
+            {"ORDER_ID": "o3", "SHIPMENT_TRACKING_NUMBER": "t4", "FFMCENTER_NAME": "ZZZ9"},
+            {"ORDER_ID": "o4", "SHIPMENT_TRACKING_NUMBER": "t5", "SHIPMENT_SHIPPED_DATE": None},
+            {"ORDER_ID": "o5", "SHIPMENT_TRACKING_NUMBER": "t6", "SHIPMENT_SHIPPED_DATE": "2023-02-24", "SHIPMENT_SHIPPED_DTTM_EST": "2023-02-24 12:00:00"},
+        ),
+        "product_flags": make("product_flags", [("p1", False), ("p2", True), ("p3", None)]),
+        "zip_state": make("zip_state", [("00501", "NY")]),
+        "route_history": make("route_history", [(*history, 220000, 3, 4), (*history, 93000, 2, 5), (*history, None, 9, 9)]),
+        "holidays": make("holidays", [("3/3/23", "Day", None), ("2/24/23", None, "early close")]),
+        "geo_distance": make("geo_distance", [("501", "AVP1", 250.5)]),
+        "route_types": make("route_types", [("AVP1", "R1", "RSF"), ("AVP1", "R1", "Direct"), ("AVP1", "R1", "Direct")]),
+    }
+
+
+def test_enrich(tables):
+    out = shipments.enrich(tables, PipelineConfig())
+    found = {row["SHIPMENT_TRACKING_NUMBER"]: row.asDict() for row in out.collect()}
+    # No zone, no service from a core site, and no ship date drop out.
+    assert sorted(found) == ["t1", "t2", "t6"]
+    first = found["t1"]
+    assert (first["UOM_flag"], first["package_size"], first["CUSTOMER_STATE"], first["STD_V0"]) == (1, 30.0, "NY", 1)
+    assert (first["SHIPPED_DOW"], first["STD_ACTUAL_VATTEMPTED"], first["index"]) == (5, 1, 3)
+    assert (first["CUTOFF"], first["ADJTNT"], first["NEXTADJTNT"]) == (93000, 2, 5)
+    assert (first["CUTOFF_TIMESTAMP"], first["FC_TYPE"], first["RELEASE_DATE"]) == ("09:30:00", "G1", dt.date(2023, 3, 1))
+    second = found["t2"]
+    assert (second["UOM_flag"], second["package_size"], second["STD_ACTUAL_VATTEMPTED"], second["STD_V0"]) == (0, None, 2, 3)
+    # t6 shipped a week before: its 8 days are the only earlier value of the weekday.
+    name = "avg_-28_-1_STD_ACTUAL_VATTEMPTED_SHIPPED_DOW_SHIPMENT_SHIP_ROUTE"
+    assert (found["t6"][name], first[name], second[name]) == (1.0, 8.0, 8.0)
+
+
+def test_a_postcode_listed_twice(spark, tables):
+    """Equal entries leave no copies of a package; two states of a postcode give two rows."""
+    zips = tables["zip_state"]
+    tables["zip_state"] = zips.union(zips)
+    assert shipments.enrich(tables, PipelineConfig()).count() == 3
+    tables["zip_state"] = zips.union(spark.createDataFrame([("00501", "NJ")], zips.schema))
+    assert shipments.enrich(tables, PipelineConfig()).count() == 6
+
+
+def test_features(tables):
+    cfg = PipelineConfig()
+    out = shipments.features(shipments.enrich(tables, cfg), tables, cfg)
+    found = {row["SHIPMENT_TRACKING_NUMBER"]: row.asDict() for row in out.collect()}
+    first = found["t1"]
+    assert (first["CPT"], first["SHIPMENT_SHIPPED_TS"], first["IS_AFTER_CPT"], first["HOURS_TILL_CPT"]) == ("12:30:00", "12:00:00", 0, 0.5)
+    assert (first["PACKAGE_COUNT_BY_ORDER"], found["t6"]["PACKAGE_COUNT_BY_ORDER"]) == (2, 1)
+    assert (first["HOLIDAY_FLAG"], found["t6"]["HOLIDAY_FLAG"]) == ("holiday", "before_holiday")
+    assert (first["DISTANCE_MI"], first["ARC_RANGE"], first["CUSTOMER_ZIP3"]) == (250.5, 2, "005")
+    assert (first["RouteType"], first["SHIPPED_FRI_SAT_TAG"]) == ("Direct", "friday")
+
+
+def test_model_sets(tables):
+    cfg = PipelineConfig()
+    df = shipments.features(shipments.enrich(tables, cfg), tables, cfg)
+    sets = shipments.model_sets(df, cfg)
+    assert (sets["train_val"].count(), sets["test"].count()) == (3, 0)
+    assert sets["train_val"].columns[:35] == list(cfg.model_columns)
+    assert sets["train_val"].columns[35:] == [
+        "ffmcenter_name_AVP1", "fc_type_G1", "holiday_flag_before_holiday", "holiday_flag_holiday",
+        "shipped_fri_sat_tag_friday", "carrier_code_C", "shipped_dow_5", "routetype_Direct",
+    ]
+
+
+def test_job_from_files_to_report(spark, tmp_path):
+    """The whole job on storage: inputs in the formats they come in, outputs under one root."""
+    locations = {}
+    for name, df in view.tables(spark, SF_DIR).items():
+        format = "csv" if name in ("zip_state", "holidays", "route_types") else "parquet"
+        if name == "shipment_lines":
+            df.createOrReplaceTempView("shipment_lines_view")
+            locations[name] = "shipment_lines_view"
+        else:
+            locations[name] = (write(df, str(tmp_path / "in" / name), format=format), format)
+    trees = BoostParams(rounds=2, max_depth=3)
+    days = {f"shipped_dow": tuple(range(7))}
+    cfg = replace(
+        view.config(output_root=str(tmp_path / "out"), run_tag="v1", output_files=3, boost=trees, stack_boost=trees),
+        encoded_domain=days,
+        grid={"max_depth": (2, 3)},
+        folds=2,
+    )
+    paths = job.prepare(job.load_tables(spark, locations), cfg)
+    assert paths["test"].endswith("out/model_sets/v1/test_2000-01-01_2001-01-01")
+    assert len(list((tmp_path / "out" / "enrich" / "v1").glob("*.parquet"))) == 3
+    trained = job.train(spark, cfg)
+    back = spark.read.option("header", True).csv(cfg.prediction_path)
+    expected = sum(spark.read.parquet(path).count() for path in paths.values())
+    assert back.columns == list(cfg.report_columns) and back.count() == expected > 500
+    assert [row["tag"] for row in trained.stacked_scores.orderBy("tag").collect()] == ["test", "train_val"]
+    assert trained.base_scores.filter("mae between 0 and 11").count() == 2
+    with pytest.raises(ValueError, match="no location for: shipment_lines"):
+        job.load_tables(spark, {})
+
+
+def test_paths_need_a_root():
+    with pytest.raises(ValueError, match="output_root"):
+        PipelineConfig().reporting_path
