@@ -56,6 +56,13 @@ FEATURES = (
     "distance_mi", "actual_zone", *TRAILING_COLUMNS, *WEEKDAY_COLUMNS,
 )
 STACK_FEATURES = ("customer_state", "distance_mi", "std_v0", *WEEKDAY_COLUMNS)
+WIDE_GRID = {
+    "max_depth": (6, 7, 8),
+    "step_size": (0.15, 0.1),
+    "row_fraction": (0.7,),
+    "column_fraction": (0.6, 0.65),
+}
+NARROW_GRID = {"max_depth": (8,), "step_size": (0.1,), "row_fraction": (0.7,), "column_fraction": (0.6,)}
 REPORT_COLUMNS = (
     "order_id", "shipment_tracking_number", "ffmcenter_name", "fc_type", "uom_flag", "carrier_code",
     "customer_postcode", "customer_zip3", "customer_state", "shipment_delivery_date",
@@ -118,7 +125,7 @@ class PipelineConfig:
     categorical: tuple[str, ...] = ("customer_state",)
     boost: BoostParams = BoostParams()
     stack_boost: BoostParams = BoostParams(max_depth=15, step_size=0.2)
-    grid: dict[str, tuple] = field(default_factory=dict)
+    grid: dict[str, tuple] = field(default_factory=dict)  # empty: train with `boost`; else search, as WIDE_GRID
     folds: int = 3
     report_columns: tuple[str, ...] = REPORT_COLUMNS
 

@@ -667,7 +667,7 @@ def model_sets(spark, sf_dir):
     return plain(df, doubles=tuple(numbers))
 
 
-# --- models: rows only -----------------------------------------------------------------------------------------
+# --- models -----------------------------------------------------------------------------------------
 
 SMALL_TREES = BoostParams(rounds=5, max_depth=6)
 MODEL_FEATURES = ["state", "weight", "zone", "dow", *[f"avg_{lo}_{hi}_days_dow_zone" for lo, hi in RANGES]]
@@ -683,6 +683,31 @@ def base_model(df: DataFrame):
     return boosting.fit(df, MODEL_FEATURES, "days", ["state"], SMALL_TREES)
 
 
+_CUTS = " union all ".join(
+    f"""select '{name}' as name, {name} as cut, sum(count(*)) over w as n, sum(sum(days)) over w as s
+    from shipments where days >= 0 and days < 11 group by {name} window w as (order by {name})"""
+    for name in ("dow", "zone")
+)
+
+
+@query(
+    f"""with_totals as (select count(*) as n, sum(days) as s from shipments where days >= 0 and days < 11),
+    cuts as ({_CUTS}),
+    best as (select name, cut, c.s / c.n::double as low, (t.s - c.s) / (t.n - c.n)::double as high
+      from cuts c, with_totals t where c.n < t.n
+      order by c.s * c.s / c.n::double + (t.s - c.s) * (t.s - c.s) / (t.n - c.n)::double desc limit 1)
+    select tracking, dow, zone, days,
+      round(case when (case name when 'dow' then dow else zone end) <= cut then low else high end, 9) as ml_pred
+    from shipments, best where days >= 0 and days < 11"""
+)
+def single_split_predictions(spark, sf_dir):
+    """One tree of one split on all rows and features, whose best split SQL can find as well."""
+    df = keep_between(shipments(spark, sf_dir), "days", 0, 11).select("tracking", "dow", "zone", "days")
+    stump = BoostParams(rounds=1, max_depth=1, step_size=1.0, row_fraction=1.0, column_fraction=1.0)
+    scored = boosting.predict(boosting.fit(df, ["dow", "zone"], "days", [], stump), df, "ml_pred")
+    return scored.withColumn("ml_pred", F.round("ml_pred", 9))
+
+
 @query()
 def gbt_predictions(spark, sf_dir):
     df = model_input(spark, sf_dir)

@@ -190,4 +190,6 @@ def with_parts(query: str) -> str:
     visit(query)
     if not needed:
         return query.strip()
+    if re.match(r"\s*\w+ as \(", query):  # goes on with parts of its own
+        query = "," + query.strip()
     return "with " + ",\n".join(f"{name} as ({PARTS[name].strip()})" for name in needed) + "\n" + query.strip()

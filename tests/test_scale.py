@@ -5,23 +5,9 @@ from pyspark.sql import functions as F
 
 from lanewise.operators import by_date, count_over, first_per_key, join_groups, lookup, trailing_stats, value_domains
 from lanewise.sources import stage
-from shipment_checks.catalog import QUERIES
 from tests.conftest import SF_DIR
 from tests.helpers import count_of, final_plan, plan, rows
 
-MODELS = {"gbt_predictions", "gbt_tuned", "stacked_predictions", "split_counts", "gain_importances", "training_report"}
-# A global aggregate ends in one task, after each task has reduced its rows to one; the calendar holds distinct dates.
-ONE_TASK = {"dataset_profile": 1, "shipping_calendar": 1}
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
-def test_no_python_rows_no_cross_join_no_single_task(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text
-    assert count_of(text, "Exchange SinglePartition") == ONE_TASK.get(name, 0)
-
-
 @pytest.fixture
 def hot(spark, conf):
     """Facts of which one key has a third, and settings under which nothing is small enough to broadcast."""
