@@ -62,3 +62,10 @@ def test_stage_goes_to_the_shared_folder(spark):
     both = sources.stage_all({"a": spark.range(2), "b": spark.range(3)})
     assert (both["a"].count(), both["b"].count()) == (2, 3)
     assert sources.stage_all({}) == {}
+
+
+def test_widen_only_spreads_narrow_scans(spark):
+    narrow, wide = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 20)
+    assert sources.widen(wide) is wide
+    assert sources.widen(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert rows(sources.widen(narrow, "id")) == rows(narrow)
