@@ -2,7 +2,9 @@
 
 No side is ever forced to be broadcast. Spark broadcasts a side only when its measured size is below
 `spark.sql.autoBroadcastJoinThreshold`; beyond that it shuffles both sides, and adaptive execution splits the
-partitions that hot keys make too large.
+partitions that hot keys make too large. It can do so only where both sides come straight from a shuffle, and not where
+one side keeps the partitions of an aggregate on the same keys. Aggregated lookups are therefore staged first, which
+also gives their true size.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.operators.dedup import keys_are_unique, lowest_per_key
+from lanewise.sources.tables import stage
 
 SALT = "__salt"
 
@@ -37,7 +40,7 @@ def lookup(
     take          columns of dim to add, or {column of dim: name to give it}
     how           "left" keeps unmatched rows, "inner" drops them
     on_duplicate  "allow": a repeated key of dim repeats the row, as a plain join does
-                  "first": the lowest taken values win, compared in the order of `take`, nulls first
+                  "first": the lowest taken values win, compared in the order of `take`, nulls first (staged)
                   "error": a repeated key raises
     spread        for a dim too large to broadcast: copies of each dim row over which the rows of one key are
                   divided, so that a hot key is joined by that many tasks
@@ -56,7 +59,7 @@ def lookup(
     )
     dim_keys = [f"__key_{ours}" for ours in on]
     if on_duplicate == "first":
-        side = lowest_per_key(side, dim_keys, list(take.values()))
+        side = stage(lowest_per_key(side, dim_keys, list(take.values())), name="lookup")
     elif on_duplicate == "error" and not keys_are_unique(side, dim_keys):
         raise ValueError(f"lookup keys are not unique: {', '.join(on.values())}")
 

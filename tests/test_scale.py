@@ -22,9 +22,10 @@ def hot(spark, conf):
     return spark.range(0, 90_000, 1, 8).select(key.alias("key"), F.col("id").alias("n"), F.xxhash64("id").alias("pad"))
 
 
-def test_hot_lookup_key_is_split(spark, hot):
+@pytest.mark.parametrize("on_duplicate", ["allow", "first"])
+def test_hot_lookup_key_is_split(spark, hot, on_duplicate):
     dim = spark.range(0, 90_000, 1, 8).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
-    out = lookup(hot, dim, ["key"], ["v"])
+    out = lookup(hot, dim, ["key"], ["v"], on_duplicate=on_duplicate)
     assert "SortMergeJoin(skew=true)" in final_plan(out)
     assert out.agg(F.count("*"), F.sum("v") - 2 * F.sum("key")).first() == (90_000, 0)
 
