@@ -195,7 +195,8 @@ def lookup_first_of_duplicates(spark, sf_dir):
 def lookup_multi_key_inner(spark, sf_dir):
     """The fastest service offer by five keys; shipments without one drop out."""
     lines = view.shipment_lines(spark, sf_dir).withColumn("day", F.to_date("RELEASE_DTTM_EST"))
-    offers = keep_present(plan.service_offers(view.route_history(spark, sf_dir), view.config()), "Cutoff")
+    offers = plan.service_offers(view.route_history(spark, sf_dir), view.config())
+    offers = sources.stage(keep_present(offers, "Cutoff"), name="offers")
     keys = {
         "day": "DATE",
         "FFMCENTER_NAME": "FCName",
@@ -615,7 +616,7 @@ _FEATURE_SQL = ", ".join(
 @query(f"select {_ENRICHED_SQL}, cast(idx as double) as index from enriched")
 def enriched_shipments(spark, sf_dir):
     """Shipment lines to packages with state, trailing averages and service offer."""
-    df = plan.enrich(view.tables(spark, sf_dir), view.config())
+    df = plan.enrich(view.tables(spark, sf_dir, view.FOR_ENRICH), view.config())
     return plain(lowercase_columns(df), doubles=(*_ENRICHED_NUMBERS, "index"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.config import PipelineConfig
-from lanewise.sources import TABLES, conform, read, widen
+from lanewise.sources import TABLES, conform, read, stage_all, widen
 
 # What the star schema calls a site, and the dates it covers.
 CORE_SITES = tuple(f"FC{number:02d}" for number in range(20))
@@ -182,6 +182,12 @@ def route_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    makers = (shipment_lines, product_flags, zip_state, route_history, holidays, geo_distance, route_types)
-    return {make.__name__: make(spark, sf_dir) for make in makers}
+FOR_ENRICH = (shipment_lines, product_flags, zip_state, route_history)
+FOR_FEATURES = (holidays, geo_distance, route_types)
+# Small lookups that are groups of large tables here: written first, as they would be tables elsewhere.
+GROUPED = (zip_state, holidays, geo_distance, route_types)
+
+
+def tables(spark: SparkSession, sf_dir: str, makers=(*FOR_ENRICH, *FOR_FEATURES)) -> dict[str, DataFrame]:
+    made = {make.__name__: make(spark, sf_dir) for make in makers}
+    return made | stage_all({make.__name__: made[make.__name__] for make in makers if make in GROUPED})
