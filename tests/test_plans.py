@@ -116,7 +116,7 @@ def test_job_from_files_to_report(spark, tmp_path):
         else:
             locations[name] = (write(df, str(tmp_path / "in" / name), format=format), format)
     trees = BoostParams(rounds=2, max_depth=3)
-    days = {f"shipped_dow": tuple(range(7))}
+    days = {"shipped_dow": tuple(range(7))}
     cfg = replace(
         view.config(output_root=str(tmp_path / "out"), run_tag="v1", output_files=3, boost=trees, stack_boost=trees),
         encoded_domain=days,
