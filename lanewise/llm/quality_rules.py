@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from lanewise.llm.common import texts
 
 #: Largest share of a text's word characters inside repeated n-grams, by n-gram length; lines as share of all line characters.
-NGRAM_LIMITS = {4: 0.40, 5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
-LINE_LIMIT = 0.30
+NGRAM_LIMITS = {4: 0.50, 5: 0.45, 6: 0.42, 7: 0.40, 8: 0.38, 9: 0.36, 10: 0.34}
+LINE_LIMIT = 0.35
 SYMBOL_LIMIT = 0.10
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
