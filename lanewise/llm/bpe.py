@@ -220,10 +220,12 @@ def digests(
 
     def distinct(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for block, ids in zip(frame["block"], frame["ids"]):
-                yield pd.DataFrame({"block": block, "id": np.unique(unpack(ids)).astype(np.int64)})
+            for block, parts in zip(frame["block"], frame["answers"]):
+                ids = np.unique(flat([unpack(x["ids"]) for x in parts]))
+                yield pd.DataFrame({"block": block, "id": ids.astype(np.int64)})
 
-    asked = answers.select("block", "ids").mapInPandas(distinct, "block long, id long").distinct()
+    gathered = _gathered(answers)
+    asked = gathered.mapInPandas(distinct, "block long, id long")
     known = asked.join(token_table(spark, ranks), "id").groupBy("block").agg(F.collect_list(F.struct("id", "bytes")).alias("known"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,5 +244,5 @@ def digests(
                     out.append((_id(doc_id), len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), body.hexdigest()))
                 yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
-    rows = held.drop("words").join(_gathered(answers), "block", "left").join(known, "block", "left")
+    rows = held.drop("words").join(gathered, "block", "left").join(known, "block", "left")
     return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
