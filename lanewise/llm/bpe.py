@@ -21,12 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm.common import BLOCK_CHARS, as_blocks, partitions, stage_bucketed, texts
+from lanewise.llm.common import as_blocks, partitions, stage_bucketed, texts
 from lanewise.llm.packing import flat, pack, pack_strings, ranges, unpack, unpack_strings
 from lanewise.sources import stage
 
 #: Distinct words of a shard, summed over blocks, that a task is to hold.
 SHARD_WORDS = 500_000
+#: Characters of a block: the larger, the fewer entries the distinct words of all blocks are.
+BLOCK_CHARS = 12_000_000
 
 
 def read_ranks(path: str) -> list[tuple[bytes, int]]:
@@ -164,11 +166,11 @@ def encode(
             for row in frame.itertuples():
                 for chunk in _chunks(_documents(row)):
                     yield pd.DataFrame(
-                        {"doc_id": pd.array([_id(x) for x, _ in chunk], dtype="Int64"), "n_tokens": [len(x) for _, x in chunk], "ids": [x for _, x in chunk]}
+                        {"doc_id": pd.array([_id(x) for x, _ in chunk], dtype="Int64"), "n_tokens": [len(x) for _, x in chunk], "ids": [x.astype(np.int32) for _, x in chunk]}
                     )
 
     rows = held.drop("words").join(_gathered(encoded_words(held, ranks)), "block", "left")
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids array<long>")
+    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, table: DataFrame) -> DataFrame:
@@ -192,7 +194,7 @@ def decode(encoded: DataFrame, table: DataFrame) -> DataFrame:
     return rows.join(found, "row", "left").mapInPandas(run, "doc_id long, bytes binary")
 
 
-def _chunks(pairs: Iterator, most: int = 2_000_000) -> Iterator[list]:
+def _chunks(pairs: Iterator, most: int = 500_000) -> Iterator[list]:
     """Lists of (doc_id, array, ...) of up to about `most` array elements."""
     held, size = [], 0
     for item in pairs:

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from lanewise.session import staging_path
 
 WORDS_SQL = r"[^\x20\x09-\x0D]+"
-#: Rows of a batch between the JVM and Python; long texts are also bounded by bytes (spark.sql.execution.arrow.maxBytesPerBatch).
-BLOCK_CHARS = 16_000_000
+#: Characters of a block of documents; a block is held by one task. Spark bounds the batches that reach Python
+#: (spark.sql.execution.arrow.maxBytesPerBatch), so long texts come few at a time.
+BLOCK_CHARS = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
