@@ -97,8 +97,8 @@ class PipelineConfig:
     run_tag: str = "run"
     output_files: int | None = None
 
-    core_sites: tuple[str, ...] = CORE_SITES
-    late_pull_sites: tuple[str, ...] = LATE_PULL_SITES
+    core_sites: tuple[str, ...] | None = None  # sites whose offers count, as CORE_SITES; None: all
+    late_pull_sites: tuple[str, ...] = ()  # as LATE_PULL_SITES
     late_pull_hours: int = LATE_PULL_HOURS
     early_pull_hours: int = EARLY_PULL_HOURS
     night_pull_before: str = NIGHT_PULL_BEFORE
@@ -115,7 +115,7 @@ class PipelineConfig:
     transit_limit: int = TRANSIT_LIMIT
     model_columns: tuple[str, ...] = (*ORDER_COLUMNS, *ROUTE_COLUMNS, *TARGET_COLUMNS)
     encoded_columns: tuple[str, ...] = ENCODED_COLUMNS
-    max_encoded_values: int = 200
+    max_encoded_values: int | None = None
     encoded_domain: dict[str, tuple] = field(default_factory=dict)  # values of columns not to be read off the data
     date_ranges: dict[str, tuple[str, str]] = field(default_factory=lambda: dict(DATE_RANGES))
 
@@ -129,6 +129,22 @@ class PipelineConfig:
     folds: int = 3
     report_columns: tuple[str, ...] = REPORT_COLUMNS
 
+    def __post_init__(self):
+        """Model columns and features name the trailing columns that these settings produce."""
+        made = tuple(
+            "_".join([self.trailing_stat, *map(str, days), value, *group]).lower()
+            for group in self.trailing_groups
+            for days in self.trailing_ranges
+            for value in self.trailing_values
+        )
+        if set(made) != set(TRAILING_COLUMNS):
+            for name in ("model_columns", "features"):
+                given = getattr(self, name)
+                first = next((i for i, column in enumerate(given) if column in TRAILING_COLUMNS), None)
+                if first is not None:
+                    kept = [column for column in given[first:] if column not in TRAILING_COLUMNS and column not in made]
+                    object.__setattr__(self, name, (*(c for c in given[:first] if c not in made), *made, *kept))
+
     def path(self, *parts: str) -> str:
         """A path under the output root, in this run's folder."""
         if self.output_root is None:

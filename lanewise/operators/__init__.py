@@ -1,5 +1,5 @@
 from lanewise.operators.dedup import drop_duplicates, first_per_key, keys_are_unique, lowest_per_key
-from lanewise.operators.encoding import one_hot, value_domains
+from lanewise.operators.encoding import encoded_values, one_hot, value_domains
 from lanewise.operators.joins import join_groups, lookup
 from lanewise.operators.packages import count_over, roll_up
 from lanewise.operators.rolling import calendar_index, trailing_name, trailing_stats
@@ -35,5 +35,6 @@ __all__ = [
     "tag_by_date",
     "trailing_name",
     "trailing_stats",
+    "encoded_values",
     "value_domains",
 ]

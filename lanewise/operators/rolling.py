@@ -27,17 +27,11 @@ def with_calendar_index(df: DataFrame, calendar: DataFrame, date_col: str) -> Da
     return df.join(F.broadcast(calendar), date_col)
 
 
-# A statistic is built from parts that can be merged, first over the finer groups of a day, then over days. Each
-# part has the aggregate that makes it from values and the one that merges it. The parts of stddev are taken of
-# values moved by their overall mean, which keeps sums of squares from cancelling out.
-_PARTS = {
-    "n": (F.count, F.sum),
-    "total": (F.sum, F.sum),
-    "low": (F.min, F.min),
-    "high": (F.max, F.max),
-    "moved": (F.sum, F.sum),
-    "squares": (lambda moved: F.sum(moved * moved), F.sum),
-}
+# A statistic is built from parts that can be merged over days. Spread is carried as each day's squared distances from its
+# own mean, and as the days' means measured from the mean of their group, so that neither large values nor groups at
+# different levels cancel out.
+_PARTS = {"n": F.count, "total": F.sum, "low": F.min, "high": F.max, "m2": lambda x: F.var_pop(x) * F.count(x)}
+_MERGE = {"n": F.sum, "total": F.sum, "low": F.min, "high": F.max, "within": F.sum, "moved": F.sum}
 
 
 def _average(part) -> Column:
@@ -45,7 +39,7 @@ def _average(part) -> Column:
 
 
 def _stddev(part) -> Column:
-    spread = part("squares") - part("moved") * part("moved") / part("n")
+    spread = part("within") - part("moved") * part("moved") / part("n")
     return F.when(part("n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (part("n") - 1)))
 
 
@@ -55,7 +49,7 @@ _STATS = {
     "count": (("n",), lambda part: F.coalesce(part("n"), F.lit(0))),
     "min": (("low",), lambda part: part("low")),
     "max": (("high",), lambda part: part("high")),
-    "stddev": (("n", "moved", "squares"), _stddev),
+    "stddev": (("n", "total", "m2"), _stddev),
 }
 
 
@@ -79,9 +73,9 @@ def trailing_stats(
     row's own day is never in it. Null group values form groups. Where a range holds no value, `default` is
     taken (a count is 0 there already). Rows without a date drop out.
 
-    Rows are first reduced to one per day and finest group, in one pass that combines before the shuffle. The
-    windows run over those, where a group has at most one row per day: the size of a group in rows does not
-    matter. Both results are staged, so the rows themselves are joined with tables of known size and need no
+    The rows are reduced once, to one per day and group of each grouping, in a pass over all groupings that combines
+    before the shuffle. Windows run over those, where a group has at most one row per day: the size of a group in rows
+    does not matter. All results are staged, so the rows themselves are joined with tables of known size and need no
     shuffle as long as these are small.
     """
     stats = [stat] if isinstance(stat, str) else list(stat)
@@ -89,50 +83,50 @@ def trailing_stats(
     if unknown:
         raise ValueError(f"unknown statistic {', '.join(unknown)}; known: {', '.join(_STATS)}")
     part_names = list(dict.fromkeys(part for name in stats for part in _STATS[name][0]))
-    finest = list(dict.fromkeys(column for group in groups for column in group))
+    columns = [date_col, *dict.fromkeys(column for group in groups for column in group)]
 
     def part_col(number: int, part: str) -> str:
         return f"__{part}_{number}"
 
-    sources = {value: {part: F.col(value) for part in part_names} for value in values}
-    if "squares" in part_names:
-        means = df.agg(*[F.avg(value).alias(value) for value in values]).first()
-        for value in values:
-            moved = F.col(value).cast("double") - F.lit(means[value] or 0.0)
-            sources[value].update(moved=moved, squares=moved)
+    def set_id(group: list[str]) -> int:
+        """What grouping_id() gives for a grouping: a bit for each column that is not in it, the last column's lowest."""
+        return sum(1 << i for i, column in enumerate(reversed(columns)) if column not in (date_col, *group))
+
     parts = [
-        _PARTS[part][0](sources[value][part]).alias(part_col(number, part))
-        for number, value in enumerate(values)
-        for part in part_names
+        _PARTS[part](F.col(value)).alias(part_col(number, part)) for number, value in enumerate(values) for part in part_names
     ]
-    daily = stage(df.groupBy(date_col, *finest).agg(*parts), name="daily")
+    sets = {set_id(group): [date_col, *group] for group in groups}
+    daily = df.groupingSets(list(sets.values()), *columns).agg(F.grouping_id().alias("__set"), *parts)
+    daily = stage(daily, name="daily")
     calendar = stage(calendar_index(daily, date_col, index_col), name="calendar")
     daily = with_calendar_index(daily, calendar, date_col)
 
     summaries, keys = {}, {}
     for group in groups:
-        merged = [
-            _PARTS[part][1](F.col(part_col(number, part))).alias(part_col(number, part))
-            for number in range(len(values))
-            for part in part_names
-        ]
-        per_day = daily.groupBy(index_col, *group).agg(*merged)
-        columns = []
+        per_day = daily.filter(F.col("__set") == set_id(group))
+        if "m2" in part_names:
+            for number in range(len(values)):
+                n, total, m2 = (F.col(part_col(number, part)) for part in ("n", "total", "m2"))
+                mean = F.when(n > 0, total.cast("double") / n)
+                per_day = per_day.withColumn("__level", mean - F.avg(mean).over(Window.partitionBy(*group)))
+                per_day = per_day.withColumn(part_col(number, "moved"), n * F.col("__level"))
+                per_day = per_day.withColumn(part_col(number, "within"), m2 + n * F.col("__level") * F.col("__level"))
+        statistics = []
         for number, value in enumerate(values):
             for days in ranges:
                 window = Window.partitionBy(*group).orderBy(index_col).rangeBetween(*days)
 
                 def part(name: str) -> Column:
-                    return _PARTS[name][1](F.col(part_col(number, name))).over(window)
+                    return _MERGE[name](F.col(part_col(number, name))).over(window)
 
                 for name in stats:
                     statistic = _STATS[name][1](part)
                     if default is not None:
                         kind = _result_type(df.schema[value].dataType, name)
                         statistic = F.coalesce(statistic, F.lit(default).cast(kind))
-                    columns.append(statistic.alias(trailing_name(name, days, value, group)))
+                    statistics.append(statistic.alias(trailing_name(name, days, value, group)))
         name = "trailing-" + "-".join(group)
-        summaries[name], keys[name] = per_day.select(index_col, *group, *columns), [index_col, *group]
+        summaries[name], keys[name] = per_day.select(index_col, *group, *statistics), [index_col, *group]
 
     result = with_calendar_index(df, calendar, date_col)
     for name, summary in stage_all(summaries).items():

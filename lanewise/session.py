@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if context.getCheckpointDir() is not None:
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lanewise-"))
     return context.getCheckpointDir()

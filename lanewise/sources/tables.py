@@ -27,6 +27,8 @@ def read(spark: SparkSession, path: str, format: str = "parquet", schema: T.Stru
     reader = spark.read
     if format == "csv":
         reader = reader.option("header", True)
+    if format == "json" and schema is not None:
+        reader = reader.schema(schema)  # else a full pass would guess types, and a code such as 00501 would lose its zeros
     df = reader.format(format).load(path)
     return conform(df, schema) if schema is not None else df
 
@@ -80,12 +82,3 @@ def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         running = {name: pool.submit(task(name, df)) for name, df in tables.items()}
         return {name: done.result() for name, done in running.items()}
 
-
-def widen(df: DataFrame, *by: str) -> DataFrame:
-    """Spread the scan of a few unsplittable files over all cores, for the sake of costly steps after it.
-
-    A table that has as many splits as there are cores, as any large one has, is returned as it is. `by` names
-    columns whose hash divides the rows; it should be nearly unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df

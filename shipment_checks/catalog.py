@@ -13,6 +13,7 @@ from lanewise import sources
 from lanewise.config import ENCODED_COLUMNS, WEEKEND_LABELS, BoostParams
 from lanewise.functions import calendars, clock, labels
 from lanewise.models import boosting
+from lanewise.operators import encoding
 from lanewise.operators import (
     calendar_index,
     count_over,
@@ -32,7 +33,6 @@ from lanewise.operators import (
     select_features,
     tag_by_date,
     trailing_stats,
-    value_domains,
 )
 from lanewise.operators import by_date as split_by_date
 from lanewise.plans import shipments as plan
@@ -178,11 +178,11 @@ def lookup_state(spark, sf_dir):
     on l_partkey = p and l_suppkey = s"""
 )
 def lookup_first_of_duplicates(spark, sf_dir):
-    """Of several rows for a key the lowest value is taken; keys are spread over four tasks each."""
+    """Of several rows for a key the lowest value is taken."""
     items = table(spark, sf_dir, "lineitem")
     rows = items.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     prices = {"l_extendedprice": "lowest_price"}
-    return lookup(rows, items, ["l_partkey", "l_suppkey"], prices, on_duplicate="first", spread=4)
+    return lookup(rows, items, ["l_partkey", "l_suppkey"], prices, on_duplicate="first")
 
 
 @query(
@@ -512,9 +512,7 @@ def one_hot_columns(spark, sf_dir):
 )
 def encoded_values(spark, sf_dir):
     """The values one-hot encoding finds, as rows."""
-    domains = value_domains(table(spark, sf_dir, "part"), ["p_brand", "p_type"])
-    rows = [(col, value) for col, values in domains.items() for value in values]
-    return spark.createDataFrame(rows, "col string, value string")
+    return encoding.encoded_values(table(spark, sf_dir, "part"), ["p_brand", "p_type"])
 
 
 _TAGS = " ".join(

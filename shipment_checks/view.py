@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.config import PipelineConfig
-from lanewise.sources import TABLES, conform, read, stage_all, widen
+from lanewise.sources import TABLES, conform, read, stage_all
 
 # What the star schema calls a site, and the dates it covers.
 CORE_SITES = tuple(f"FC{number:02d}" for number in range(20))
@@ -54,7 +54,7 @@ def site() -> Column:
 
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, customer, nation, supplier and part."""
-    item = widen(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    item = table(spark, sf_dir, "lineitem")
     order = table(spark, sf_dir, "orders")
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     supplier, part = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part")

@@ -186,6 +186,13 @@ def test_one_hot_refuses_wide_domains(spark):
         value_domains(spark.range(3).selectExpr("id / 2 as x"), ["x"])
 
 
+def test_one_hot_of_many_values_and_clashing_names(spark):
+    out, domain = one_hot(spark.range(300).selectExpr("cast(id as string) as v"), ["v"])
+    assert len(domain["v"]) == 300 and len(out.columns) == 301
+    with pytest.raises(ValueError, match="r_Direct, r_direct"):
+        one_hot(spark.createDataFrame([("Direct",), ("direct",)], "r string"), ["r"])
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, 2), (None, 2), (3, 4)], "k int, v int")
     row = quality.profile(df, ["k"]).first().asDict()

@@ -4,7 +4,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from lanewise.config import BoostParams, PipelineConfig
+from lanewise.config import CORE_SITES, LATE_PULL_SITES, BoostParams, PipelineConfig
 from lanewise.plans import job, shipments
 from lanewise.sources import TABLES, conform, write
 from shipment_checks import view
@@ -56,7 +56,7 @@ def tables(spark):
 
 
 def test_enrich(tables):
-    out = shipments.enrich(tables, PipelineConfig())
+    out = shipments.enrich(tables, PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES))
     found = {row["SHIPMENT_TRACKING_NUMBER"]: row.asDict() for row in out.collect()}
     # No zone, no service from a core site, and no ship date drop out.
     assert sorted(found) == ["t1", "t2", "t6"]
@@ -76,13 +76,13 @@ def test_a_postcode_listed_twice(spark, tables):
     """Equal entries leave no copies of a package; two states of a postcode give two rows."""
     zips = tables["zip_state"]
     tables["zip_state"] = zips.union(zips)
-    assert shipments.enrich(tables, PipelineConfig()).count() == 3
+    assert shipments.enrich(tables, PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES)).count() == 3
     tables["zip_state"] = zips.union(spark.createDataFrame([("00501", "NJ")], zips.schema))
-    assert shipments.enrich(tables, PipelineConfig()).count() == 6
+    assert shipments.enrich(tables, PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES)).count() == 6
 
 
 def test_features(tables):
-    cfg = PipelineConfig()
+    cfg = PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES)
     out = shipments.features(shipments.enrich(tables, cfg), tables, cfg)
     found = {row["SHIPMENT_TRACKING_NUMBER"]: row.asDict() for row in out.collect()}
     first = found["t1"]
@@ -94,7 +94,7 @@ def test_features(tables):
 
 
 def test_model_sets(tables):
-    cfg = PipelineConfig()
+    cfg = PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES)
     df = shipments.features(shipments.enrich(tables, cfg), tables, cfg)
     sets = shipments.model_sets(df, cfg)
     assert (sets["train_val"].count(), sets["test"].count()) == (3, 0)
@@ -138,4 +138,11 @@ def test_job_from_files_to_report(spark, tmp_path):
 
 def test_paths_need_a_root():
     with pytest.raises(ValueError, match="output_root"):
-        PipelineConfig().reporting_path
+        PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES).reporting_path
+
+
+def test_column_names_follow_the_settings():
+    cfg = PipelineConfig(trailing_ranges=((-14, -1),))
+    trailing = [name for name in cfg.model_columns if name.startswith("avg_")]
+    assert len(trailing) == 3 and all(name.startswith("avg_-14_-1_") for name in trailing)
+    assert set(trailing) <= set(cfg.features) and not any("-28" in name for name in (*cfg.model_columns, *cfg.features))

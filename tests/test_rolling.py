@@ -83,3 +83,10 @@ def test_stddev_of_large_values_does_not_cancel(spark):
     out = trailing_stats(spark.createDataFrame(data, "d date, v double"), ["v"], [[]], [(-3, -1)], "d", "stddev")
     found = [row[0] for row in out.filter("index > 3").select("`stddev_-3_-1_v`").collect()]
     assert found == pytest.approx([1.0] * 7)
+
+
+def test_stddev_of_groups_at_different_levels(spark):
+    data = [(START + dt.timedelta(days=n), g, level + n % 2) for n in range(12) for g, level in (("a", 1e9), ("b", 0.0))]
+    out = trailing_stats(spark.createDataFrame(data, "d date, g string, v double"), ["v"], [["g"]], [(-4, -1)], "d", "stddev")
+    found = [row[0] for row in out.filter("index > 4").select("`stddev_-4_-1_v_g`").collect()]
+    assert found == pytest.approx([(1 / 3) ** 0.5] * 16)

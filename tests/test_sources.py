@@ -64,8 +64,7 @@ def test_stage_goes_to_the_shared_folder(spark):
     assert sources.stage_all({}) == {}
 
 
-def test_widen_only_spreads_narrow_scans(spark):
-    narrow, wide = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 20)
-    assert sources.widen(wide) is wide
-    assert sources.widen(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert rows(sources.widen(narrow, "id")) == rows(narrow)
+def test_json_keeps_codes(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"zip": "00501", "n": 3}\n{"zip": "x"}\n')
+    schema = T.StructType([T.StructField("zip", T.StringType()), T.StructField("n", T.IntegerType())])
+    assert sorted(map(tuple, sources.read(spark, str(tmp_path), "json", schema).collect())) == [("00501", 3), ("x", None)]
