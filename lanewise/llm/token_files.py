@@ -8,7 +8,9 @@ Segments lie in ascending order of doc_id, and each knows how many ids precede i
 
 from __future__ import annotations
 
+import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -74,22 +76,42 @@ def _vocabulary(path: str):
 class WordIds:
     """Ids of texts by the ids of their space-separated parts, remembered within bounds.
 
-    Exact for tokenizers that drop white space before they cut words, as no token then spans a space.
+    Exact for tokenizers that drop white space before they cut words, as no token then spans a space. Printable ASCII
+    words of a tokenizer that only lowers case and splits by a pattern go straight to its model; for those the other
+    steps change nothing. All other words take the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _vocabulary(path), {}
+        import regex
+
+        self.tokenizer, self.known, self.find = _vocabulary(path), {}, None
+        steps = json.loads(self.tokenizer.to_str())
+        normal = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])]
+        cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and "Regex" in cuts[0]["pattern"]:
+            self.find = regex.compile(cuts[0]["pattern"]["Regex"]).findall
+
+    def _learn(self, words: list[bytes]) -> None:
+        rest, tokenize = [], self.tokenizer.model.tokenize
+        for word in words:
+            text = word.decode()
+            if self.find is not None and text.isascii() and text.isprintable():
+                ids = [token.id for piece in self.find(text.lower()) for token in tokenize(piece)]
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append((word, text))
+        found = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
+        for (word, _), x in zip(rest, found):
+            self.known[word] = struct.pack(f"<{len(x.ids)}I", *x.ids)
 
     def __call__(self, text: str) -> bytes:
         words = text.encode().split()
-        new = list(set(words).difference(self.known))
+        new = set(words).difference(self.known)
         if new:
             if len(self.known) + len(new) > CACHE_WORDS:
                 self.known.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-            for word, x in zip(new, found):
-                self.known[word] = np.array(x.ids, dtype="<u4").tobytes()
+                new = set(words)
+            self._learn(list(new))
         return b"".join(map(self.known.__getitem__, words))
 
 

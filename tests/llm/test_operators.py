@@ -316,6 +316,16 @@ def test_token_codes():
     assert (token_files.read_at(segment, places) == ids[places]).all()
 
 
+def test_word_ids_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, ours = token_files._vocabulary(path), token_files.WordIds(path)
+    rng = np.random.default_rng(9)
+    bits = ["it's", "I'LL", "don't!!", "A", "z9", "2024", "\x1c", "H\u0331", "\u00e9", "e\u0301", "'", "''s", "\u212a", "--", "\u00a0", " ", "\t", "x" * 40, "<|endoftext|>"]
+    for _ in range(500):
+        text = "".join(rng.choice(bits, rng.integers(1, 12)))
+        assert np.frombuffer(ours(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_special_tokens_are_text(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     text = "a <|endoftext|> <|startoftext|>b"
