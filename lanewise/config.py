@@ -96,6 +96,7 @@ class PipelineConfig:
     output_root: str | None = None
     run_tag: str = "run"
     output_files: int | None = None
+    allow_fan_out: bool = False  # do not end the job where a package has several rows
 
     core_sites: tuple[str, ...] | None = None  # sites whose offers count, as CORE_SITES; None: all
     late_pull_sites: tuple[str, ...] = ()  # as LATE_PULL_SITES

@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lanewise.config import PipelineConfig
-from lanewise.plans.shipments import enrich, features, model_sets
+from lanewise.operators.quality import require_unique
+from lanewise.plans.shipments import PACKAGE_KEYS, enrich, features, model_sets
 from lanewise.plans.training import Trained, train_and_report
 from lanewise.sources import TABLES, read, read_table, stage, write
+from lanewise.sources.schemas import lost_values
+
+#: The enriched table is laid out by delivery date, which the sets are cut by; the second column splits a busy day.
+LAYOUT = ["SHIPMENT_DELIVERY_DATE", "SHIPMENT_TRACKING_NUMBER"]
 
 
 def load_tables(spark: SparkSession, locations: dict[str, str | tuple[str, str]]) -> dict[str, DataFrame]:
@@ -26,14 +31,29 @@ def load_tables(spark: SparkSession, locations: dict[str, str | tuple[str, str]]
     }
 
 
+def input_losses(spark: SparkSession, locations: dict[str, str | tuple[str, str]]) -> dict[str, DataFrame]:
+    """Per table, one row with the number of values of each column that do not parse and count as missing."""
+    raw = {name: read_table(spark, at) if isinstance(at, str) else read(spark, *at) for name, at in locations.items()}
+    return {name: lost_values(df, TABLES[name]) for name, df in raw.items()}
+
+
 def prepare(tables: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]:
-    """Write the reporting table, the enriched table and the train and test sets; return their paths by name."""
-    reporting = stage(enrich(tables, cfg), cfg.reporting_path, partitions=cfg.output_files)
-    enriched = stage(features(reporting, tables, cfg), cfg.enriched_path, partitions=cfg.output_files)
-    sets = model_sets(enriched, cfg)
+    """Write the reporting table, the enriched table and the train and test sets; return their paths by name.
+
+    A package is told by all its own columns, since an order and tracking number may stand for several. One with several
+    rows ends the job, unless `cfg.allow_fan_out`.
+    """
+    checked = _unchecked if cfg.allow_fan_out else require_unique
+    reporting = checked(stage(enrich(tables, cfg), cfg.reporting_path, partitions=cfg.output_files), PACKAGE_KEYS, "reporting")
+    enriched = stage(features(reporting, tables, cfg), cfg.enriched_path, partitions=cfg.output_files, range_by=LAYOUT)
+    sets = model_sets(checked(enriched, PACKAGE_KEYS, "enriched"), cfg)
     return {name: write(df, cfg.set_path(name)) for name, df in sets.items()}
 
 
+def _unchecked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    return df
+
+
 def train(spark: SparkSession, cfg: PipelineConfig) -> Trained:
     """Train on the written sets and write the prediction report as CSV."""
     train_set = read(spark, cfg.set_path("train_val"))

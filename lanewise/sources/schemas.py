@@ -95,6 +95,13 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def lost_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: per column of `schema`, how many values are there but become null in `conform`."""
+    require_columns(df, schema.names)
+    kept = {field.name: F.col(field.name).try_cast(field.dataType) for field in schema.fields}
+    return df.agg(*[F.count_if(F.col(name).isNotNull() & cast.isNull()).alias(name) for name, cast in kept.items()])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the columns of `schema` by name and cast them; text that does not parse becomes null."""
     require_columns(df, schema.names)

@@ -40,13 +40,17 @@ def write(
     format: str = "parquet",
     partitions: int | None = None,
     partition_by: list[str] | None = None,
+    range_by: list[str] | None = None,
 ) -> str:
     """Write a directory of part files and return its path.
 
     `partitions` spreads rows evenly over that many files at the price of a shuffle; leave it out to keep the
-    partitions the plan ends with.
+    partitions the plan ends with. `range_by` deals rows out by ranges of these columns instead, so that a filter on
+    the first of them skips files by their statistics; the others split the rows of a frequent value.
     """
-    if partitions is not None:
+    if range_by:
+        df = df.repartitionByRange(*([partitions] if partitions is not None else []), *range_by)
+    elif partitions is not None:
         df = df.repartition(partitions)
     writer = df.write.mode(mode).format(format)
     if format == "csv":
@@ -57,7 +61,9 @@ def write(
     return path
 
 
-def stage(df: DataFrame, path: str | None = None, partitions: int | None = None, name: str = "table") -> DataFrame:
+def stage(
+    df: DataFrame, path: str | None = None, partitions: int | None = None, name: str = "table", range_by: list[str] | None = None
+) -> DataFrame:
     """Write `df` and read it back.
 
     This cuts lineage in storage that outlives executors, lets later steps read single columns, and gives
@@ -65,7 +71,7 @@ def stage(df: DataFrame, path: str | None = None, partitions: int | None = None,
     """
     spark = df.sparkSession
     path = path or staging_path(spark, name)
-    write(df, path, partitions=partitions)
+    write(df, path, partitions=partitions, range_by=range_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -707,6 +707,88 @@ def single_split_predictions(spark, sf_dir):
     return scored.withColumn("ml_pred", F.round("ml_pred", 9))
 
 
+STUMPS = BoostParams(rounds=3, max_depth=1, step_size=0.5, row_fraction=1.0, column_fraction=1.0)
+
+
+def _stump(at: str, rows: str, features: dict[str, str], residual: str) -> str:
+    """The split of `rows` with the largest gain for a residual, as CTE `at`; features are given with their SQL."""
+    cuts = " union all ".join(
+        f"""select '{name}' as name, {value} as cut, sum(count(*)) over w as n, sum(sum({residual})) over w as s
+        from {rows} group by {value} window w as (order by {value})"""
+        for name, value in features.items()
+    )
+    return f"""{at} as (select name, cut, c.s / c.n::double as low, (t.s - c.s) / (t.n - c.n)::double as high,
+      c.s * c.s / c.n::double + (t.s - c.s) * (t.s - c.s) / (t.n - c.n)::double - t.s * t.s / t.n::double as gain
+      from ({cuts}) c, (select count(*) as n, sum({residual}) as s from {rows}) t where c.n < t.n
+      order by gain desc limit 1)"""
+
+
+def _boosted_stumps() -> str:
+    """CTEs round0 to round3, with the predictions after so many trees, and best1 to best3, their splits."""
+    parts = ["""with_rows as (select tracking, dow, zone, days, 0.0::double as pred
+      from shipments where days >= 0 and days < 11), round0 as (select * from with_rows)"""]
+    for i in range(1, STUMPS.rounds + 1):
+        weight = 1.0 if i == 1 else STUMPS.step_size
+        parts.append(_stump(f"best{i}", f"round{i - 1}", {"dow": "dow", "zone": "zone"}, "(days - pred)"))
+        parts.append(f"""round{i} as (select tracking, dow, zone, days, pred + {weight}::double *
+          case when (case name when 'dow' then dow else zone end) <= cut then low else high end as pred
+          from round{i - 1}, best{i})""")
+    return ", ".join(parts)
+
+
+def stump_input(spark, sf_dir) -> DataFrame:
+    df = keep_between(shipments(spark, sf_dir), "days", 0, 11).select("tracking", "dow", "zone", "days")
+    return sources.stage(df, name="stump-input")
+
+
+def boosted_stumps_of(df: DataFrame):
+    return boosting.fit(df, ["dow", "zone"], "days", [], STUMPS)
+
+
+@query(f"{_boosted_stumps()} select tracking, dow, zone, days, round(pred, 9) as ml_pred from round3")
+def boosted_stumps(spark, sf_dir):
+    """Three trees of one split on all rows: the size is the query's definition, since SQL can find each split as well."""
+    df = stump_input(spark, sf_dir)
+    scored = boosting.predict(boosted_stumps_of(df), df, "ml_pred")
+    return scored.withColumn("ml_pred", F.round("ml_pred", 9))
+
+
+_BEST = " union all ".join(f"select name, {1 if i == 1 else 4} * gain as gain from best{i}" for i in range(1, STUMPS.rounds + 1))
+
+
+@query(f"{_boosted_stumps()} select name as feature, count(*) as importance from ({_BEST}) group by name")
+def stump_split_counts(spark, sf_dir):
+    """How many of the three splits use each feature."""
+    return boosting.split_counts(boosted_stumps_of(stump_input(spark, sf_dir)))
+
+
+@query(
+    f"""{_boosted_stumps()} select f.feature, round(coalesce(sum(b.gain), 0) / (select sum(gain) from ({_BEST})), 9) as importance
+    from (values ('dow'), ('zone')) f(feature) left join ({_BEST}) b on b.name = f.feature group by f.feature"""
+)
+def stump_gain_importances(spark, sf_dir):
+    """Share of each feature in the gain of the three splits; later trees are fitted to twice the residual."""
+    shares = boosting.importances(boosted_stumps_of(stump_input(spark, sf_dir)))
+    return shares.withColumn("importance", F.round("importance", 9))
+
+
+@query(
+    f"""{_boosted_stumps()}, first_model as (select *, round_even(pred, 0) as ml_model from round3),
+    {_stump("second", "first_model", {"dow": "dow", "ml_model": "ml_model"}, "days::double")}
+    select tracking, days, round(pred, 9) as ml_pred, ml_model as ml_pred_rounded,
+      round(case when (case name when 'dow' then dow::double else ml_model end) <= cut then low else high end, 9) as ensemble_pred
+    from first_model, second"""
+)
+def stacked_stumps(spark, sf_dir):
+    """A second model of one split, on the weekday and the rounded predictions of the first."""
+    df = stump_input(spark, sf_dir)
+    base = boosted_stumps_of(df)
+    one = BoostParams(rounds=1, max_depth=1, step_size=1.0, row_fraction=1.0, column_fraction=1.0)
+    scored = boosting.with_predictions(df, base, boosting.stack(df, base, ["dow"], "days", [], one))
+    rounded = [F.round(name, 9).alias(name) for name in ("ml_pred", "ensemble_pred")]
+    return scored.select("tracking", "days", "ml_pred_rounded", *rounded)
+
+
 @query()
 def gbt_predictions(spark, sf_dir):
     df = model_input(spark, sf_dir)

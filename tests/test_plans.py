@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lanewise.config import CORE_SITES, LATE_PULL_SITES, BoostParams, PipelineConfig
 from lanewise.plans import job, shipments
 from lanewise.sources import TABLES, conform, write
+from lanewise.sources.schemas import lost_values
 from shipment_checks import view
 from tests.conftest import SF_DIR
 from tests.helpers import rows
@@ -126,7 +127,15 @@ def test_job_from_files_to_report(spark, tmp_path):
     paths = job.prepare(job.load_tables(spark, locations), cfg)
     assert paths["test"].endswith("out/model_sets/v1/test_2000-01-01_2001-01-01")
     assert len(list((tmp_path / "out" / "enrich" / "v1").glob("*.parquet"))) == 3
+    dates = spark.read.parquet(cfg.enriched_path).groupBy(F.input_file_name()).agg(
+        F.min("SHIPMENT_DELIVERY_DATE").alias("low"), F.max("SHIPMENT_DELIVERY_DATE").alias("high")
+    )
+    spans = sorted((row["low"], row["high"]) for row in dates.collect())
+    assert all(before[1] <= after[0] for before, after in zip(spans, spans[1:]))  # a date range needs its own files only
+    losses = job.input_losses(spark, locations)
+    assert set(losses["zip_state"].first().asDict().values()) == {0}
     trained = job.train(spark, cfg)
+    assert trained.base_splits.count() > 0 and trained.stacked_splits.count() > 0
     back = spark.read.option("header", True).csv(cfg.prediction_path)
     expected = sum(spark.read.parquet(path).count() for path in paths.values())
     assert back.columns == list(cfg.report_columns) and back.count() == expected > 500
@@ -136,6 +145,20 @@ def test_job_from_files_to_report(spark, tmp_path):
         job.load_tables(spark, {})
 
 
+def test_a_doubled_lookup_key_is_reported(spark, tables, tmp_path):
+    zips = tables["zip_state"]
+    tables["zip_state"] = zips.union(spark.createDataFrame([("00501", "NJ")], zips.schema))
+    with pytest.raises(ValueError, match="reporting: 6 rows for 3 values of ORDER_ID"):
+        job.prepare(tables, PipelineConfig(output_root=str(tmp_path), core_sites=CORE_SITES))
+
+
+def test_values_that_do_not_parse_are_counted(spark):
+    text = ", ".join(f"{name} string" for name in TABLES["route_history"].names)
+    rows_in = [("2023-03-01", "A", "R", "00501", "C", "930x", "3", None), ("no date", "A", "R", "00501", "C", "93000", "x", None)]
+    found = lost_values(spark.createDataFrame(rows_in, text), TABLES["route_history"]).first().asDict()
+    assert {name: n for name, n in found.items() if n} == {"DATE": 1, "Cutoff": 1, "AdjTNT": 1}
+
+
 def test_paths_need_a_root():
     with pytest.raises(ValueError, match="output_root"):
         PipelineConfig(core_sites=CORE_SITES, late_pull_sites=LATE_PULL_SITES).reporting_path
