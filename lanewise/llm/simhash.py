@@ -13,7 +13,7 @@ no link. Large buckets are dealt into tiles (`buckets.tiles`), and a tile emits
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -32,11 +32,14 @@ SEED = 42
 PIVOTS = 16
 
 
-def fingerprint(text: str, shingle_words: int = 3) -> int:
-    """The fingerprint as an unsigned integer; a text without words has 0."""
+def shingle_hashes(text: str, shingle_words: int = 3) -> Iterator[np.ndarray]:
+    """Hashes of a text's word shingles in their order, at most 65,536 at a time, so that a long text needs no more memory.
+
+    A text of fewer words is one shingle; a text without words has none.
+    """
     words = words_of(text)
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     starts, at = [], 0
     for word in words:
@@ -45,11 +48,17 @@ def fingerprint(text: str, shingle_words: int = 3) -> int:
     n = max(1, len(words) - shingle_words + 1)
     ends = [start - 1 for start in starts[shingle_words:]] + [len(line)]
     digest = xxhash.xxh64_intdigest
-    ones, total = np.zeros(64, dtype=np.int64), n
-    for first in range(0, n, 65536):  # so that a very long text needs no more memory than a short one
-        part = [digest(line[a:b], SEED) for a, b in zip(starts[first : min(n, first + 65536)], ends[first:])]
-        bits = np.unpackbits(np.array(part, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for first in range(0, n, 65536):
+        yield np.array([digest(line[a:b], SEED) for a, b in zip(starts[first : min(n, first + 65536)], ends[first:])], dtype="<u8")
+
+
+def fingerprint(text: str, shingle_words: int = 3) -> int:
+    """The fingerprint as an unsigned integer; a text without words has 0."""
+    ones, total = np.zeros(64, dtype=np.int64), 0
+    for part in shingle_hashes(text, shingle_words):
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        total += len(part)
     return int(np.packbits((2 * ones > total).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
@@ -137,12 +146,17 @@ def groups(docs: DataFrame, radius: int = 3, shingle_words: int = 3, id_col: str
     `root` is the fingerprint that stands for the component.
     """
     marked = stage(fingerprints(docs, shingle_words, id_col, text_col), name="fingerprints")
+    return placed(marked, lambda found: links(found.select("fingerprint"), radius))
+
+
+def placed(marked: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`groups` for staged rows (doc_id, fingerprint) and a function from distinct (fingerprint, low) to links (a, b)."""
     found = stage(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("low")), name="prints")
-    roots = components(links(found.select("fingerprint"), radius), "a", "b")
-    placed = found.join(roots, found["fingerprint"] == roots["node"], "left")
-    placed = stage(placed.select("fingerprint", "low", F.coalesce("root", "fingerprint").alias("root")), name="roots")
-    lows = stage(placed.groupBy("root").agg(F.min("low").alias("component_id")), name="components")
-    known = stage(placed.join(lows, "root").select("fingerprint", "root", "component_id"), name="placed")
+    roots = components(linked(found), "a", "b")
+    rooted = found.join(roots, found["fingerprint"] == roots["node"], "left")
+    rooted = stage(rooted.select("fingerprint", "low", F.coalesce("root", "fingerprint").alias("root")), name="roots")
+    lows = stage(rooted.groupBy("root").agg(F.min("low").alias("component_id")), name="components")
+    known = stage(rooted.join(lows, "root").select("fingerprint", "root", "component_id"), name="placed")
     return marked.join(known, "fingerprint").select("doc_id", "fingerprint", "root", "component_id")
 
 
@@ -152,7 +166,11 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle_words: int = 3) -> DataFr
     Where several rows have that doc_id, one of them stays. Rows without a doc_id go where their component has one; if
     none of its rows has one, one row stays.
     """
-    found = groups(docs, radius, shingle_words)
+    return first_rows(docs, groups(docs, radius, shingle_words), lambda text: fingerprint(text, shingle_words))
+
+
+def first_rows(docs: DataFrame, found: DataFrame, print_of: Callable[[str], int]) -> DataFrame:
+    """The rows of `docs` that `keep_one` keeps, given their groups and the function that made the fingerprints."""
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = stage(first.groupBy("root", "doc_id").agg(F.count("*").alias("n")), name="keep")
     names = docs.columns
@@ -163,15 +181,15 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle_words: int = 3) -> DataFr
     roots = found.select(F.col("fingerprint").alias("__llm_print"), F.col("root").alias("__llm_to")).distinct()
     same_id = F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id"))
     several = docs.join(again.select("__llm_id").distinct(), same_id, "left_semi")
-    several = several.withColumn("__llm_print", _print_column(shingle_words)).join(stage(roots, name="to"), "__llm_print")
+    several = several.withColumn("__llm_print", _print_column(print_of)).join(stage(roots, name="to"), "__llm_print")
     several = several.join(again, same_id & (F.col("__llm_to") == F.col("__llm_root")))
     return single.unionByName(several.dropDuplicates(["__llm_root"]).select(*names))
 
 
-def _print_column(shingle_words: int):
+def _print_column(print_of: Callable[[str], int]):
     @F.pandas_udf("long")
     def run(text: pd.Series) -> pd.Series:
-        found = (fingerprint(x if isinstance(x, str) else "", shingle_words) for x in text)
+        found = (print_of(x if isinstance(x, str) else "") for x in text)
         return pd.Series(np.fromiter(found, np.uint64, len(text)).view(np.int64))
 
     return run(F.col("text"))
