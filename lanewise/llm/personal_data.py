@@ -27,7 +27,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(WORDS_SQL)
-#: Words on each side of a word with a digit or @ that belong to its sequence.
+#: What stands for @ in obfuscated addresses.
+_AT = re.compile(r"[(\[{<]at[)\]}>]", re.IGNORECASE | re.ASCII)
+#: Words on each side of a word with a digit or @ (or what stands for it) that belong to its sequence.
 WINDOW = 4
 #: Sequences that are decoded together.
 BATCH = 2000
@@ -183,14 +185,14 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def _sequences(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of words, as (start, end), around the words with a digit or @."""
-    if not (_DIGIT.search(text) or "@" in text):
+    """Runs of words, as (start, end), around the words with a digit or @, or what stands for it."""
+    if not (_DIGIT.search(text) or "@" in text or _AT.search(text)):
         return
     words = [m.span() for m in _WORD.finditer(text)]
     run, last = [], -1
     for i, (start, end) in enumerate(words):
         word = text[start:end]
-        if "@" in word or _DIGIT.search(word):
+        if "@" in word or _DIGIT.search(word) or _AT.search(word):
             first = max(0, i - WINDOW)
             if run and first > last:
                 yield run
@@ -202,15 +204,31 @@ def _sequences(text: str) -> Iterator[list[tuple[int, int]]]:
 
 
 def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
-    while end > start and text[end - 1] in ".,;:!?\"'":
+    while end > start and (text[end - 1] in ".,;:!?\"'" or text[end - 1].isspace()):
         end -= 1
-    while start < end and text[start] in "\"'":
+    while start < end and (text[start] in "\"'" or text[start].isspace()):
         start += 1
     return start, end
 
 
+def _outside(text: str, start: int, end: int, base: list[tuple[int, str, int]]) -> Iterator[tuple[int, int]]:
+    """What base spans (ascending) leave of a span."""
+    for a, _, b in base:
+        if a < end and start < b:
+            if start < a:
+                yield start, a
+            start = max(start, b)
+            while start < end and text[start] in ".,;:!?":
+                start += 1
+    if start < end:
+        yield start, end
+
+
 def found_spans(items: list[tuple[str, list[tuple[int, str, int]]]], field: crf.Crf) -> list[list[tuple[int, str, int]]]:
-    """Per (text, base spans), the spans that the field adds: runs of one kind that hold a digit or @ and meet no base span."""
+    """Per (text, base spans), the spans that the field adds: runs of one kind, less the base spans, that hold a digit or @.
+
+    An email may hold what stands for @ instead.
+    """
     out: list[list] = [[] for _ in items]
     waiting: list[tuple[int, list]] = []
 
@@ -223,10 +241,12 @@ def found_spans(items: list[tuple[str, list[tuple[int, str, int]]]], field: crf.
                 stop = at + 1
                 while stop < len(run) and labels[stop] == labels[at]:
                     stop += 1
-                start, end = _trimmed(text, run[at][0], run[stop - 1][1])
-                value = text[start:end]
-                if labels[at] != "none" and (_DIGIT.search(value) or "@" in value) and not any(a < end and start < b for a, _, b in base):
-                    out[i].append((start, f"crf_{labels[at]}", end))
+                if labels[at] != "none":
+                    for start, end in _outside(text, run[at][0], run[stop - 1][1], base):
+                        start, end = _trimmed(text, start, end)
+                        value = text[start:end]
+                        if _DIGIT.search(value) or "@" in value or labels[at] == "email" and _AT.search(value):
+                            out[i].append((start, f"crf_{labels[at]}", end))
                 at = stop
         waiting.clear()
 
