@@ -31,8 +31,9 @@ _WORD = re.compile(WORDS_SQL)
 _AT = re.compile(r"[(\[{<]at[)\]}>]", re.IGNORECASE | re.ASCII)
 #: Words on each side of a word with a digit or @ (or what stands for it) that belong to its sequence.
 WINDOW = 4
-#: Sequences that are decoded together.
+#: Parts that are decoded together; words of a part, and words on each side that are decoded with it for their context.
 BATCH = 2000
+PART, MARGIN = 64, 16
 
 #: The labelled table: texts with <kind|value> around personal data.
 LABELLED = """
@@ -133,6 +134,12 @@ def _features(words: list[str]) -> list[list[str]]:
     return out
 
 
+def _part_features(words: list[str], first: int, stop: int) -> list[list[str]]:
+    """The features of words[first:stop] as they are in the whole run; features reach two words to each side."""
+    low = max(0, first - 2)
+    return _features(words[low : stop + 2])[first - low : stop - low]
+
+
 @lru_cache(maxsize=1)
 def model() -> crf.Crf:
     """The field, trained on the labelled table."""
@@ -233,8 +240,16 @@ def found_spans(items: list[tuple[str, list[tuple[int, str, int]]]], field: crf.
     waiting: list[tuple[int, list]] = []
 
     def settle():
-        decoded = field.decode([_features([items[i][0][a:b] for a, b in run]) for i, run in waiting])
-        for (i, run), labels in zip(waiting, decoded):
+        words = [[items[i][0][a:b] for a, b in run] for i, run in waiting]
+        parts = [(k, first) for k, (_, run) in enumerate(waiting) for first in range(0, len(run), PART)]
+        decided: list[list[str]] = [[] for _ in waiting]
+        for low in range(0, len(parts), BATCH):
+            some = parts[low : low + BATCH]
+            decoded = field.decode([_part_features(words[k], max(0, first - MARGIN), first + PART + MARGIN) for k, first in some])
+            for (k, first), labels in zip(some, decoded):
+                skip = first - max(0, first - MARGIN)
+                decided[k] += labels[skip : skip + PART]
+        for (i, run), labels in zip(waiting, decided):
             text, base = items[i]
             at = 0
             while at < len(run):
@@ -252,9 +267,7 @@ def found_spans(items: list[tuple[str, list[tuple[int, str, int]]]], field: crf.
 
     for i, (text, _) in enumerate(items):
         for run in _sequences(text):
-            # A very long run is decoded in parts of bounded length.
-            for first in range(0, len(run), 64):
-                waiting.append((i, run[first : first + 64]))
+            waiting.append((i, run))
             if len(waiting) >= BATCH:
                 settle()
     settle()
