@@ -20,11 +20,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Words that make a string beside them worth measuring.
-SENSITIVE = ("secret", "token", "password", "passwd", "apikey", "api_key", "api-key", "access_key", "private_key", "credential", "bearer", "authorization", "client_secret", "auth")
+SENSITIVE = ("secret", "token", "password", "passwd", "apikey", "api_key", "api-key", "access_key", "private_key", "private key", "credential", "bearer", "authorization", "client_secret", "auth")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 SENSITIVE_RE = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
 #: Characters around a candidate: in which a sensitive word must stand before it, and which prime the compressor.
 NEAR, AROUND = 48, 512
+#: What may stand between the lines of one secret: a line break, or the backslash of one written as \\n, is among it.
+BETWEEN = re.compile(r"""(?=[^\n]*[\n\\])(?:[\s"'+,]|\\[nr]?){1,40}""")
 #: A string is novel if the frame grows by at least this share of its length. Random base64 needs 0.75, random hex 0.5.
 NOVELTY = 0.45
 #: The dictionary of the compressor: identifiers and code as they stand beside secrets without being one.
@@ -50,10 +52,13 @@ def _compressor(around: bytes) -> zstandard.ZstdCompressor:
 def novelty(text: str, start: int, end: int) -> float:
     """Bytes that the candidate adds to the compressed line around it, per character of its own.
 
-    The compressor is primed with the dictionary and with the text on both sides, so a name or phrase that occurs there
-    costs next to nothing.
+    The compressor is primed with the dictionary and with the text on both sides, so what a candidate shares with other
+    words there costs next to nothing. Copies of the whole candidate are blanked, as a secret may stand there twice.
     """
-    before, after = text[max(0, start - AROUND) : start].encode(), text[end : end + AROUND].encode()
+    value, blank = text[start:end], "\n" * (end - start)
+    reach = AROUND + end - start
+    before = text[max(0, start - reach) : start].replace(value, blank)[-AROUND:].encode()
+    after = text[end : end + reach].replace(value, blank)[:AROUND].encode()
     compress = _compressor(before + after).compress
     frame = before[-64:]
     return (len(compress(frame + text[start:end].encode())) - len(compress(frame))) / (end - start)
@@ -72,16 +77,18 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def novel_spans(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
-    """Candidates beside a sensitive word, outside the fixed patterns' spans, that the primed compressor cannot shorten."""
+    """Candidates beside a sensitive word, or on lines that go on from such a one, outside the fixed patterns' spans, that the primed compressor cannot shorten."""
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE):
         return []
-    found = []
+    found, beside, last = [], False, 0
     for m in CANDIDATE.finditer(text):
         value, start, end = m[0], m.start(), m.end()
-        if not (any(map(str.isdigit, value)) and any(map(str.isalpha, value))):
+        carried = beside and start - last <= 40 and BETWEEN.fullmatch(text, last, start)
+        beside, last = bool(carried or SENSITIVE_RE.search(text, max(0, start - NEAR), start)), end
+        if not beside or not (any(map(str.isdigit, value)) and any(map(str.isalpha, value))):
             continue
-        if any(a < end and start < b for a, _, b in taken) or not SENSITIVE_RE.search(text, max(0, start - NEAR), start):
+        if any(a < end and start < b for a, _, b in taken):
             continue
         if novelty(text, start, end) >= NOVELTY:
             found.append((start, "novel", end))
