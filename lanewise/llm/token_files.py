@@ -68,9 +68,7 @@ def _vocabulary(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class WordIds:
@@ -78,7 +76,8 @@ class WordIds:
 
     Exact for tokenizers that drop white space before they cut words, as no token then spans a space. Printable ASCII
     words of a tokenizer that only lowers case and splits by a pattern go straight to its model; for those the other
-    steps change nothing. All other words take the tokenizer's whole way.
+    steps change nothing. All other words, and words that hold the text of an added token such as <|endoftext|>, take
+    the tokenizer's whole way, which gives the added token's id.
     """
 
     def __init__(self, path: str):
@@ -86,6 +85,7 @@ class WordIds:
 
         self.tokenizer, self.known, self.find = _vocabulary(path), {}, None
         steps = json.loads(self.tokenizer.to_str())
+        self.added = [x["content"].lower() for x in steps["added_tokens"] or []]
         normal = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])]
         cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
         if normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and "Regex" in cuts[0]["pattern"]:
@@ -95,8 +95,9 @@ class WordIds:
         rest, tokenize = [], self.tokenizer.model.tokenize
         for word in words:
             text = word.decode()
-            if self.find is not None and text.isascii() and text.isprintable():
-                ids = [token.id for piece in self.find(text.lower()) for token in tokenize(piece)]
+            lower = text.lower()
+            if self.find is not None and text.isascii() and text.isprintable() and not any(x in lower for x in self.added):
+                ids = [token.id for piece in self.find(lower) for token in tokenize(piece)]
                 self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 rest.append((word, text))
