@@ -131,3 +131,162 @@ with sized as (
 )
 select doc_id, size, source_size, target, (taken_all // n)::bigint as taken from (select *, unnest(range(n)) from sums)
 """
+
+
+def _trees(entries: str, out: str, levels: int, claim: bool) -> str:
+    """CTEs that build the trees over `entries` (g, p, n, d) level by level: <out>_top (g, d), and <out>_proof with each entry's
+    siblings up to its root as `proof`, and its `c` folded with them. n is the number of nodes on the level of a group."""
+    parts = [f", {out}_0 as (select g, p, n, d from {entries})", f", {out}_p0 as (select g, p, d as leaf, {'c' if claim else 'd as c'}, '' as proof, {'doc_id' if claim else '0 as doc_id'} from {entries})"]
+    for i in range(levels):
+        span = 8**i
+        parts.append(f""", {out}_r{i} as (select g, p // 8 as run, list(d order by p) as ds from {out}_{i} where n > 1 group by g, p // 8)
+, {out}_{i + 1} as (select g, run as p, 1 as n, sha256(array_to_string(ds, '')) as d from {out}_r{i})
+, {out}_s{i} as (
+    select x.*, array_to_string(ds[1 : p // {span} % 8], '') as lefts, array_to_string(ds[p // {span} % 8 + 2 :], '') as rights, ds is not null as up
+    from {out}_p{i} x left join {out}_r{i} r on x.g is not distinct from r.g and x.p // {span * 8} = r.run
+)
+, {out}_p{i + 1} as (
+    select g, p, leaf, case when up then sha256(lefts || c || rights) else c end as c, case when up then proof || lefts || rights else proof end as proof, doc_id
+    from {out}_s{i}
+)""")
+        parts[-1] = parts[-1].replace("1 as n", "count(*) over (partition by g) as n")
+    return "\n".join(parts)
+
+
+_CRC = """list_reduce(list_concat([4294967295], list_transform(range(1, length(t) + 1), lambda i: ascii(substring(t, i, 1))::bigint)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _row(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("t", "source", "lang", "n_chars::varchar", text)) + ")"
+
+
+#: Trees of up to 8 ** 8 documents a language and 8 ** 4 languages.
+MERKLE = f"""
+with docs as (
+    select doc_id, doc_id::varchar as t, source, lang, n_chars, text,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered
+    from documents
+)
+, leaves as (
+    select doc_id, lang as g, {_row("text")} as d,
+        case when t is not null and xor({_CRC}, 4294967295) % 3 = 0 then {_row("lowered")} else {_row("text")} end as c
+    from docs
+)
+, entries as (
+    select *, row_number() over (partition by g order by doc_id nulls first, d) - 1 as p, count(*) over (partition by g) as n from leaves
+)
+{_trees("entries", "lower", 8, True)}
+, tops as (select g as lang, d from lower_0 where n = 1 {" ".join(f"union all select g, d from lower_{i} where n = 1" for i in range(1, 9))})
+, subroots as (
+    select 0 as g, lang, d, row_number() over (order by lang nulls first) - 1 as p, count(*) over () as n
+    from (select lang, any_value(d) as d from tops group by lang)
+)
+{_trees("subroots", "upper", 4, False)}
+, roots as (select d from upper_0 where n = 1 {" ".join(f"union all select d from upper_{i} where n = 1" for i in range(1, 5))})
+, above as (select lang, s.d as subroot, u.p from subroots s join upper_p4 u on s.p = u.p)
+, folded as (
+    select x.doc_id, x.leaf, a.subroot, (select any_value(d) from roots) as root, x.proof as low, a.p, x.c
+    from lower_p8 x join above a on x.g is not distinct from a.lang
+)
+"""
+
+
+def _refold() -> str:
+    """Fold what leads to a subroot on to the root, with the siblings that the upper tree keeps per level."""
+    parts = [", up0 as (select *, '' as high from folded)"]
+    for i in range(4):
+        span = 8**i
+        parts.append(f""", up{i + 1} as (
+    select doc_id, leaf, subroot, root, low, p, case when ds is null then c else sha256(lefts || c || rights) end as c,
+        case when ds is null then high else high || lefts || rights end as high
+    from (select x.*, r.ds, array_to_string(ds[1 : p // {span} % 8], '') as lefts, array_to_string(ds[p // {span} % 8 + 2 :], '') as rights
+        from up{i} x left join upper_r{i} r on x.p // {span * 8} = r.run)
+)""")
+    return "\n".join(parts)
+
+
+MERKLE += f"""{_refold()}
+select doc_id, leaf, subroot, root, sha256(low || high) as proof_sha256, c as folded_root, c = root as verified from up4
+"""
+
+
+def _step(state: str, cost: str, edit: str, row: str = "''") -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {state}.t || {row}}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+_U, _A = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+#: Rows put in, then one row edited, from each of the states 0 (nothing yet), 1 (after s), 2 (after u) and 3 (after a).
+_PUT_IN = f"""s0 as t0, s1 as t1,
+    {_least("s2", _step("s0", "5", "I", _U), _step("s1", "5", "I", _U), _step("s3", "5", "I", _U))} as t2,
+    {_least("s3", _step("s2", "5", "I", _A), _step("s0", "10", "II", f"{_U} || {_A}"), _step("s1", "10", "II", f"{_U} || {_A}"))} as t3"""
+
+
+def _kept(state: str, initial: str, name: str) -> str:
+    """The row under its own role where that fits, else under the role that does; not at all if it has to go."""
+    keep = _step(state, "cut", "K", "chr(10) || role || ':' || text")
+    change = _step(state, "(1 + cut)", "R", f"chr(10) || '{name}:' || text")
+    return f"case when gone then {_step(state, '1000000', 'X')} when initial = '{initial}' then {keep} else {change} end"
+
+
+_ONLY_S = f"case when gone or initial <> 's' then {_step('t0', '1000000', 'X')} else {_step('t0', 'cut', 'K', "chr(10) || role || ':' || text")} end"
+_EDITED = f"""{_step("t0", "2", "D")} as s0, {_least(_step("t1", "2", "D"), _ONLY_S)} as s1,
+    {_least(_step("t2", "2", "D"), *[_kept(t, "u", "user") for t in ("t0", "t1", "t3")])} as s2,
+    {_least(_step("t3", "2", "D"), _kept("t2", "a", "assistant"))} as s3"""
+
+CONVERSATIONS = rf"""
+with recursive drawn as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor({_CRC}, 4294967295) % 20 as draw
+    from (select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as t from conversations)
+)
+, damaged as (
+    select conv_id, turn, case when draw = 4 then 'user' else role end as role,
+        case draw when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+    from (select *, unnest(range(case draw when 0 then 0 when 3 then 2 else 1 end)) as copy from drawn)
+)
+, placed as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, substring(role, 1, 1) as initial,
+        not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as last
+    from damaged
+)
+, marked as (
+    select *, case when blank then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+        when last not in ('.', '!', '?') then 'truncated' else '' end as fault,
+        lag(initial) over (partition by conv_id order by i) as before
+    from placed
+)
+, turns as (
+    select conv_id, i, initial, role, text, fault in ('blank', 'duplicate') as gone, case when fault = 'truncated' then 5 else 0 end as cut from marked
+)
+, ids as (select distinct conv_id from conversations)
+, walk as (
+    select conv_id, 0 as i, {{'c': 0, 'a': '', 't': ''}} as s0, {{'c': 1000000, 'a': '', 't': ''}} as s1, {{'c': 1000000, 'a': '', 't': ''}} as s2,
+        {{'c': 1000000, 'a': '', 't': ''}} as s3
+    from ids
+    union all
+    select conv_id, i + 1, {_EDITED}
+    from (select w.conv_id, w.i, {_PUT_IN}, r.role, r.text, r.initial, r.gone, r.cut
+        from walk w join turns r on w.conv_id is not distinct from r.conv_id and r.i = w.i + 1)
+)
+, ends as (
+    select conv_id, {_least("t0", "t3")} as best
+    from (select conv_id, {_PUT_IN} from walk qualify row_number() over (partition by conv_id order by i desc) = 1)
+)
+, counts as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+        count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+        count(*) filter (i > 1 and before || initial not in ('su', 'ua', 'au')) as illegal
+    from marked group by conv_id
+)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+    coalesce(illegal, 0) as illegal, best.c::bigint as cost, best.a as audit, sha256(substring(best.t, 2)) as repaired_sha256
+from ends e left join counts c on e.conv_id is not distinct from c.conv_id
+"""

@@ -29,7 +29,7 @@ def test_run_and_contract(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256"] and rows.count() > 0
     names = contract.queries()
-    assert "pipeline" in names and len([x for x in names if x.startswith("op")]) == 10
+    assert "pipeline" in names and len([x for x in names if x.startswith("op")]) == 13
     assert set(contract.oracle_sql()) <= set(names)
 
 
