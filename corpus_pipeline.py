@@ -1,25 +1,28 @@
-"""Corpus pipeline: quality, near-duplicates, personal data, mixing and tokens, each stage on what the one before kept."""
+"""Corpus pipeline: quality, near-duplicates, personal data, mixing and tokens, each stage on what the one before kept.
+
+Each stage takes rows with a missing id or text, repeated rows and an empty table, as its operator says.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, mixing, near_texts, personal_data, quality_model
+from lanewise.llm import bpe, mixing, personal_data, quality_model, simhash
 from lanewise.llm.common import table
 from lanewise.llm.queries import trusted
 from lanewise.sources import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the perplexity classifier rejects go."""
+    """Documents that the perplexity classifier rejects go; so do empty ones, which it cannot judge."""
     return quality_model.keep_good(docs, trusted(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays, the one with the smallest id."""
-    return near_texts.keep_one(docs)
+    """One document of each group of near-duplicates (fingerprints of three-word shingles, three bits) stays, the one with the
+    smallest id. Texts without words are one group."""
+    return simhash.keep_one(docs)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +36,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the token ids, with the digests of ids and decoded bytes."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """doc_id, n_tokens, the token ids, and the digests of ids and of the bytes they decode to."""
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("private", private), ("mix", mix), ("tokens", tokens)]
-#: A language model, a hash and tokenizers: none of the stages can be said in SQL. tests/llm compares them with brute force.
+#: A language model, a hash and tokenizers: none of the stages can be said in SQL. tests/llm compares near-duplicates and tokens
+#: with brute force, and the other stages with their operators.
 ORACLE_SQL = None
 
 
@@ -48,4 +52,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name=name)
     name, step = STAGES[-1]
-    return stage(step(spark, docs, sf_dir), name=name).withColumn("ids_sha256", F.sha2(F.concat_ws(",", "ids").cast("binary"), 256)).drop("ids")
+    return stage(step(spark, docs, sf_dir), name=name).drop("ids")

@@ -208,9 +208,9 @@ def _chunks(pairs: Iterator, most: int = 500_000) -> Iterator[list]:
 
 
 def digests(
-    docs: DataFrame, path: str, pattern: str, max_chars: int = BLOCK_CHARS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, pattern: str, max_chars: int = BLOCK_CHARS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): `encode` and `decode` in one pass over the blocks.
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): `encode` and `decode` in one pass over the blocks; `with_ids`, also ids.
 
     The ids of a block's words are joined with the token-byte table before they return to their block, so ids and bytes
     are put in order together. Nulls, repeated rows and empty tables as in `encode`.
@@ -238,13 +238,15 @@ def digests(
                 of = [bytes(x["bytes"]) for x in table]
                 place = np.full(int(keys.max()) + 1 if len(keys) else 0, len(of), dtype=np.int64)
                 place[keys] = np.arange(len(keys))
-                out = []
-                for doc_id, ids in _documents(row):
-                    body = hashlib.sha256()
-                    for first in range(0, len(ids), 65536):
-                        body.update(b"".join(map(of.__getitem__, place[ids[first : first + 65536]].tolist())))
-                    out.append((_id(doc_id), len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), body.hexdigest()))
-                yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+                for chunk in _chunks(_documents(row)):
+                    out = []
+                    for doc_id, ids in chunk:
+                        body = hashlib.sha256()
+                        for first in range(0, len(ids), 65536):
+                            body.update(b"".join(map(of.__getitem__, place[ids[first : first + 65536]].tolist())))
+                        out.append((_id(doc_id), len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), body.hexdigest()))
+                    done = pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+                    yield done.assign(ids=[x.astype(np.int32) for _, x in chunk]) if with_ids else done
 
     rows = held.drop("words").join(gathered, "block", "left").join(known, "block", "left")
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

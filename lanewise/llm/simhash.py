@@ -170,18 +170,23 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle_words: int = 3) -> DataFr
 
 
 def first_rows(docs: DataFrame, found: DataFrame, print_of: Callable[[str], int]) -> DataFrame:
-    """The rows of `docs` that `keep_one` keeps, given their groups and the function that made the fingerprints."""
+    """The rows of `docs` that `keep_one` keeps, given their groups and the function that made the fingerprints.
+
+    The ids that stay grow with the table, so they are never broadcast: rows and ids meet by a shuffle at any size.
+    """
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = stage(first.groupBy("root", "doc_id").agg(F.count("*").alias("n")), name="keep")
     names = docs.columns
-    alone = keep.where("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__llm_id"))
+    alone = keep.where("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__llm_id")).hint("merge")
     single = docs.join(alone, docs["doc_id"].cast("long") == F.col("__llm_id"), "left_semi").select(*names)
-    # Repeated ids are rare; only their rows are fingerprinted once more and shuffled whole.
     again = keep.where("n > 1 OR doc_id IS NULL").select(F.col("root").alias("__llm_root"), F.col("doc_id").alias("__llm_id"))
-    roots = found.select(F.col("fingerprint").alias("__llm_print"), F.col("root").alias("__llm_to")).distinct()
+    if again.isEmpty():
+        return single
+    # Repeated ids are rare. Their rows are written first, so that only they are fingerprinted once more.
+    roots = stage(found.select(F.col("fingerprint").alias("__llm_print"), F.col("root").alias("__llm_to")).distinct(), name="to")
     same_id = F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id"))
-    several = docs.join(again.select("__llm_id").distinct(), same_id, "left_semi")
-    several = several.withColumn("__llm_print", _print_column(print_of)).join(stage(roots, name="to"), "__llm_print")
+    several = stage(docs.join(again.select("__llm_id").distinct(), same_id, "left_semi"), name="several")
+    several = several.withColumn("__llm_print", _print_column(print_of)).join(roots, "__llm_print")
     several = several.join(again, same_id & (F.col("__llm_to") == F.col("__llm_root")))
     return single.unionByName(several.dropDuplicates(["__llm_root"]).select(*names))
 

@@ -1,11 +1,15 @@
 """The pipeline's stages on hard rows, their effects, and the whole of it on the small tables."""
 
+import hashlib
+from collections import Counter
+
 import __spark_entry__ as contract
 import corpus_pipeline
 from lanewise.llm import personal_data, simhash
 from lanewise.llm.common import table
 from lanewise.sources import stage
 from tests.conftest import SF_DIR
+from tests.helpers import plan
 
 
 def test_stages_take_effect(spark):
@@ -23,11 +27,14 @@ def test_stages_take_effect(spark):
     assert personal_data.find(seen["private"]).where("base_sha256 != sha2('', 256)").count() == 0
     assert seen["mix"].select("doc_id").distinct().count() <= seen["private"].count()
     assert seen["tokens"].count() == seen["mix"].count()
+    # The bytes of the ids are those of the texts that the mix gave.
+    texts = Counter((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in seen["mix"].collect())
+    assert Counter((r.doc_id, r.decoded_sha256) for r in seen["tokens"].select("doc_id", "decoded_sha256").collect()) == texts
 
 
 def test_run_and_contract(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
-    assert rows.columns == ["doc_id", "n_tokens", "ids_sha256"] and rows.count() > 0
+    assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and rows.count() > 0
     names = contract.queries()
     assert "pipeline" in names and len([x for x in names if x.startswith("op")]) == 13
     assert set(contract.oracle_sql()) <= set(names)
@@ -41,3 +48,12 @@ def test_stages_on_hard_rows(spark):
         for name, step in corpus_pipeline.STAGES:
             frame = stage(step(spark, frame, SF_DIR))
             assert name == "tokens" or frame.columns == docs.columns
+
+
+def test_only_rows_of_repeated_ids_are_fingerprinted_twice(spark):
+    """The rows that stay are picked by id; no Python runs over the documents again."""
+    docs = spark.createDataFrame([(i, f"some words and number {i // 2} and more of them") for i in range(40)], "doc_id long, text string")
+    out = simhash.keep_one(docs)
+    assert "Python" not in plan(out) and out.count() == 20
+    again = simhash.keep_one(docs.unionByName(docs.limit(4)))
+    assert again.count() == 20
