@@ -128,6 +128,7 @@ class PipelineConfig:
     stack_boost: BoostParams = BoostParams(max_depth=15, step_size=0.2)
     grid: dict[str, tuple] = field(default_factory=dict)  # empty: train with `boost`; else search, as WIDE_GRID
     folds: int = 3
+    out_of_fold: int | None = None  # parts in which the first model scores rows for the second without having seen them
     report_columns: tuple[str, ...] = REPORT_COLUMNS
 
     def __post_init__(self):

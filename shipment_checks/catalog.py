@@ -723,17 +723,25 @@ def _stump(at: str, rows: str, features: dict[str, str], residual: str) -> str:
       order by gain desc limit 1)"""
 
 
-def _boosted_stumps() -> str:
-    """CTEs round0 to round3, with the predictions after so many trees, and best1 to best3, their splits."""
-    parts = ["""with_rows as (select tracking, dow, zone, days, 0.0::double as pred
-      from shipments where days >= 0 and days < 11), round0 as (select * from with_rows)"""]
+_ROWS = """with_rows as (select tracking, dow, zone, days, cast(order_id as integer) % 3 as part, 0.0::double as pred
+  from shipments where days >= 0 and days < 11)"""
+
+
+def _boosted_stumps(mark: str = "", learn: str = "true", score: str = "true") -> str:
+    """CTEs round0 to round3, with the predictions after so many trees, and best1 to best3, their splits.
+
+    Splits are found in the rows that `learn` picks; rounds hold those and the rows that `score` picks. `mark` is put behind
+    the names.
+    """
+    parts = [f"round0{mark} as (select *, {learn} as learn from with_rows where {learn} or {score})"]
     for i in range(1, STUMPS.rounds + 1):
         weight = 1.0 if i == 1 else STUMPS.step_size
-        parts.append(_stump(f"best{i}", f"round{i - 1}", {"dow": "dow", "zone": "zone"}, "(days - pred)"))
-        parts.append(f"""round{i} as (select tracking, dow, zone, days, pred + {weight}::double *
-          case when (case name when 'dow' then dow else zone end) <= cut then low else high end as pred
-          from round{i - 1}, best{i})""")
-    return ", ".join(parts)
+        rows = f"(select * from round{i - 1}{mark} where learn)"
+        parts.append(_stump(f"best{i}{mark}", rows, {"dow": "dow", "zone": "zone"}, "(days - pred)"))
+        parts.append(f"""round{i}{mark} as (select tracking, dow, zone, days, part, pred + {weight}::double *
+          case when (case name when 'dow' then dow else zone end) <= cut then low else high end as pred, learn
+          from round{i - 1}{mark}, best{i}{mark})""")
+    return ", ".join(parts if mark else [_ROWS, *parts])
 
 
 def stump_input(spark, sf_dir) -> DataFrame:
@@ -789,6 +797,34 @@ def stacked_stumps(spark, sf_dir):
     return scored.select("tracking", "days", "ml_pred_rounded", *rounded)
 
 
+_PARTS = range(3)
+_UNSEEN = " union all ".join(f"select * from round3_{k} where not learn" for k in _PARTS)
+
+
+@query(
+    f"""{_boosted_stumps()}, {", ".join(_boosted_stumps(f"_{k}", f"part <> {k}") for k in _PARTS)},
+    unseen as (select *, round_even(pred, 0) as ml_model from ({_UNSEEN})),
+    {_stump("second", "unseen", {"dow": "dow", "ml_model": "ml_model"}, "days::double")}
+    select r.tracking, r.days, r.part, round(r.pred, 9) as ml_pred, round(u.pred, 9) as unseen_pred, round(case when
+      (case name when 'dow' then r.dow::double else round_even(r.pred, 0) end) <= cut then low else high end, 9) as ensemble_pred
+    from (select *, row_number() over (partition by tracking, dow, zone, days order by pred) as copy from round3) r
+    join (select *, row_number() over (partition by tracking, dow, zone, days order by pred) as copy from unseen) u
+      on r.tracking = u.tracking and r.dow = u.dow and r.zone = u.zone and r.days = u.days and r.copy = u.copy, second"""
+)
+def stacked_out_of_fold(spark, sf_dir):
+    """A second model that learns from predictions of models which had not seen the row: parts by order number."""
+    part = (F.col("order_id").cast("int") % 3).alias("part")
+    df = keep_between(shipments(spark, sf_dir), "days", 0, 11).select("tracking", "dow", "zone", "days", part)
+    df = sources.stage(df, name="stump-input")
+    base = boosted_stumps_of(df)
+    unseen = boosting.cross_fit(df, boosting.recipe(base), 3, "part", "unseen_pred").drop("fold")
+    one = BoostParams(rounds=1, max_depth=1, step_size=1.0, row_fraction=1.0, column_fraction=1.0)
+    stacked = boosting.stack(df, base, ["dow"], "days", [], one, out_of_fold=3, fold_col="part")
+    scored = boosting.with_predictions(unseen, base, stacked)
+    rounded = [F.round(name, 9).alias(name) for name in ("ml_pred", "unseen_pred", "ensemble_pred")]
+    return scored.select("tracking", "days", "part", *rounded)
+
+
 @query()
 def gbt_predictions(spark, sf_dir):
     df = model_input(spark, sf_dir)
