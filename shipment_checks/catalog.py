@@ -88,13 +88,18 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`shipments` written once, as trailing statistics read their input several times."""
+    return sources.stage(shipments(spark, sf_dir), name="shipments")
+
+
 GROUPS = [["dow", "site", "state"], ["dow", "route"], ["dow", "zone"]]
 RANGES = [(-28, -1), (-7, -1)]
 SHIPMENT_COLUMNS = "order_id, tracking, site, state, route, zone, cast(ship_date as varchar) as ship_date, dow, days, weight"
 
 
 def trailing_sql(stats: list[str], value: str, groups: list[list[str]], ranges: list[tuple[int, int]]) -> str:
-    kinds = {"count": "{}", "sum": "coalesce({}, 1)", "min": "coalesce({}, 1)", "max": "coalesce({}, 1)"}
+    kinds = {"count": "{}", "sum": "cast(coalesce({}, 1) as bigint)" if value == "days" else "coalesce({}, 1)", "min": "coalesce({}, 1)", "max": "coalesce({}, 1)"}
     columns = [
         kinds.get(stat, "coalesce({}, 1.0)").format(trailing(stat, value, days, group))
         + f' as "{stat}_{days[0]}_{days[1]}_{value}_{"_".join(group)}"'
@@ -312,13 +317,45 @@ def shipping_calendar(spark, sf_dir):
 
 @query(trailing_sql(["avg"], "days", GROUPS, RANGES))
 def trailing_avg(spark, sf_dir):
-    return plain(trailing_stats(shipments(spark, sf_dir), ["days"], GROUPS, RANGES, "ship_date"))
+    return plain(trailing_stats(staged_shipments(spark, sf_dir), ["days"], GROUPS, RANGES, "ship_date"))
 
 
 @query(trailing_sql(["sum", "count", "min", "max"], "weight", GROUPS[1:], RANGES))
 def trailing_sum_count_min_max(spark, sf_dir):
     stats = ["sum", "count", "min", "max"]
-    return plain(trailing_stats(shipments(spark, sf_dir), ["weight"], GROUPS[1:], RANGES, "ship_date", stat=stats))
+    return plain(trailing_stats(staged_shipments(spark, sf_dir), ["weight"], GROUPS[1:], RANGES, "ship_date", stat=stats))
+
+
+WIDE_STATS, WIDE_RANGES = ["avg", "count", "min", "max"], [(-365, -1)]
+
+
+@query(trailing_sql(WIDE_STATS, "days", [["zone"], ["dow", "route"]], WIDE_RANGES))
+def trailing_wide(spark, sf_dir):
+    """Ranges of a year of days, from prefix sums and from a table of ranges whose lengths are powers of two."""
+    df = staged_shipments(spark, sf_dir)
+    return plain(trailing_stats(df, ["days"], [["zone"], ["dow", "route"]], WIDE_RANGES, "ship_date", stat=WIDE_STATS))
+
+
+def _known(stat: str, days: tuple[int, int], group: list[str]) -> str:
+    """The statistic of shipments delivered by the row's own day."""
+    same = " and ".join(f"o.{name} = s.{name}" for name in group)
+    found = f"""(select {stat}(o.days) from indexed o where {same} and o.idx between s.idx - {-days[0]} and s.idx - {-days[1]}
+      and o.ship_date + o.days <= s.ship_date)"""
+    other = {"avg": "1.0", "sum": "1", "count": "0"}[stat]
+    kind = "double" if stat == "avg" else "bigint"
+    return f'cast(coalesce({found}, {other}) as {kind}) as "{stat}_{days[0]}_{days[1]}_days_{"_".join(group)}"'
+
+
+_KNOWN = ", ".join(_known(stat, days, group) for group in GROUPS[1:] for days in RANGES for stat in ("avg", "sum", "count"))
+
+
+@query(f"select tracking, cast(ship_date as varchar) as ship_date, dow, route, zone, days, idx as index, {_KNOWN} from indexed s")
+def trailing_known(spark, sf_dir):
+    """Trailing statistics over shipments that had been delivered by the row's day: nothing is known before its time."""
+    df = shipments(spark, sf_dir).select("tracking", "ship_date", "dow", "route", "zone", "days")
+    df = sources.stage(df.withColumn("delivered", F.expr("date_add(ship_date, days)")), name="shipments")
+    stats = ["avg", "sum", "count"]
+    return plain(trailing_stats(df, ["days"], GROUPS[1:], RANGES, "ship_date", stat=stats, known_by="delivered").drop("delivered"))
 
 
 @query(
@@ -327,7 +364,7 @@ def trailing_sum_count_min_max(spark, sf_dir):
     from indexed"""
 )
 def trailing_stddev(spark, sf_dir):
-    df = trailing_stats(shipments(spark, sf_dir), ["weight"], [["dow", "route"]], [(-28, -1)], "ship_date", "stddev")
+    df = trailing_stats(staged_shipments(spark, sf_dir), ["weight"], [["dow", "route"]], [(-28, -1)], "ship_date", "stddev")
     spread = F.round("`stddev_-28_-1_weight_dow_route`", 6).alias("spread_28")
     return plain(df.select("tracking", "ship_date", "route", spread))
 
@@ -551,7 +588,7 @@ _EPSILON = "2.220446049250313e-16"
 
 
 def with_trailing_mean(spark, sf_dir) -> DataFrame:
-    df = trailing_stats(shipments(spark, sf_dir), ["days"], [["dow", "zone"]], [(-28, -1)], "ship_date")
+    df = trailing_stats(staged_shipments(spark, sf_dir), ["days"], [["dow", "zone"]], [(-28, -1)], "ship_date")
     return df.withColumnRenamed("avg_-28_-1_days_dow_zone", "ml_pred")
 
 
@@ -674,7 +711,7 @@ MODEL_FEATURES = ["state", "weight", "zone", "dow", *[f"avg_{lo}_{hi}_days_dow_z
 
 def model_input(spark, sf_dir) -> DataFrame:
     """Shipments with trailing means, staged because training reads them many times."""
-    df = trailing_stats(shipments(spark, sf_dir), ["days"], [["dow", "zone"]], RANGES, "ship_date")
+    df = trailing_stats(staged_shipments(spark, sf_dir), ["days"], [["dow", "zone"]], RANGES, "ship_date")
     return sources.stage(keep_between(df, "days", 0, 11), name="model-input")
 
 

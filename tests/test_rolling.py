@@ -1,13 +1,17 @@
 import datetime as dt
 import itertools
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanewise.operators import calendar_index, trailing_name, trailing_stats
+from lanewise.operators.rolling import WIDE, _takes_prefix
+from lanewise.sources import stage
 from tests.helpers import rows
 
 
@@ -90,3 +94,62 @@ def test_stddev_of_groups_at_different_levels(spark):
     out = trailing_stats(spark.createDataFrame(data, "d date, g string, v double"), ["v"], [["g"]], [(-4, -1)], "d", "stddev")
     found = [row[0] for row in out.filter("index > 4").select("`stddev_-4_-1_v_g`").collect()]
     assert found == pytest.approx([(1 / 3) ** 0.5] * 16)
+
+
+def test_prefixes_equal_frames(spark):
+    rng = random.Random(8)
+    data = [(rng.choice([None, *(START + dt.timedelta(days=n) for n in range(13))]), rng.choice(["a", "b", None]), rng.choice([None, *range(-50, 50)])) for _ in range(60)]
+    df = stage(spark.createDataFrame(data, "d date, g string, v int"))
+    arguments = (["v"], [["g"]], [(-8, -1), (-2, 0), (1, 4)], "d")
+    by_frame = trailing_stats(df, *arguments, stat=STATS, strategy="window", default=None)
+    by_prefix = trailing_stats(df, *arguments, stat=STATS, strategy="prefix", default=None)
+    assert rounded(by_prefix, by_frame.columns) == rounded(by_frame, by_frame.columns)
+    assert dict(by_prefix.dtypes) == dict(by_frame.dtypes)
+
+
+def test_rule_of_auto():
+    whole, fraction = T.LongType(), T.DoubleType()
+    wide, narrow = (-WIDE, -1), (-28, -1)
+    assert _takes_prefix("auto", "avg", wide, whole) and _takes_prefix("auto", "min", wide, fraction)
+    assert not _takes_prefix("auto", "avg", wide, fraction) and not _takes_prefix("auto", "sum", narrow, whole)
+    assert _takes_prefix("prefix", "sum", narrow, fraction) and not _takes_prefix("prefix", "stddev", wide, whole)
+    with pytest.raises(ValueError, match="strategy"):
+        _takes_prefix("fast", "avg", wide, whole)
+
+
+def known(data, lo, hi):
+    """Per row (index, n, total) of the values in its range that were known by its day; brute force."""
+    days = sorted({d for d, _, _, _ in data if d is not None}, key=lambda d: d)
+    first = 2 if any(d is None for d, _, _, _ in data) else 1
+    at = {d: i for i, d in enumerate(days, first)}
+    out = []
+    for d, g, _, _ in data:
+        if d is not None:
+            seen = [v for e, h, k, v in data if e is not None and h == g and k is not None and k <= d and lo <= at[e] - at[d] <= hi and v is not None]
+            out.append((at[d], g, len(seen), sum(seen) if seen else None))
+    return sorted(out, key=repr)
+
+
+known_row = st.tuples(st.one_of(st.none(), st.integers(0, 12)), st.sampled_from(["a", None]), st.one_of(st.none(), st.integers(-3, 20)), st.one_of(st.none(), st.integers(-50, 50)))
+
+
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(known_row, min_size=1, max_size=40))
+def test_known_by_takes_nothing_that_lay_ahead(spark, data):
+    day = lambda n: None if n is None else START + dt.timedelta(days=2 * n)  # noqa: E731  known days lie between those of the calendar
+    data = [(day(n), g, None if k is None else START + dt.timedelta(days=k), v) for n, g, k, v in data]
+    df = spark.createDataFrame(data, "d date, g string, k date, v int")
+    for lo, hi in ((-4, -1), (-9, 0)):
+        out = trailing_stats(df, ["v"], [["g"]], [(lo, hi)], "d", ["count", "sum", "avg"], None, known_by="k")
+        found = [tuple(r) for r in out.select("index", "g", f"`count_{lo}_{hi}_v_g`", f"`sum_{lo}_{hi}_v_g`").collect()]
+        assert sorted(found, key=repr) == known(data, lo, hi)
+        assert out.filter(f"`avg_{lo}_{hi}_v_g` <> `sum_{lo}_{hi}_v_g` / `count_{lo}_{hi}_v_g`").count() == 0
+
+
+def test_known_by_needs_sums_and_a_date(spark):
+    df = spark.createDataFrame([(START, "x", 1)], "d date, k string, v int")
+    with pytest.raises(ValueError, match="avg, sum, count"):
+        trailing_stats(df, ["v"], [[]], [(-1, -1)], "d", "max", known_by="d")
+    with pytest.raises(TypeError, match="k must be a date"):
+        trailing_stats(df, ["v"], [[]], [(-1, -1)], "d", known_by="k")
+    assert trailing_stats(df.limit(0), ["v"], [[]], [(-1, -1)], "d", known_by="d").count() == 0
