@@ -112,6 +112,7 @@ class PipelineConfig:
     weekend_labels: dict[int, str] = field(default_factory=lambda: dict(WEEKEND_LABELS))
     route_type_default: str = "Others"
     lookup_spread: int = 1
+    lookup_hot_share: float | None = None  # find keys with this share of the rows, and divide those alone
 
     transit_limit: int = TRANSIT_LIMIT
     model_columns: tuple[str, ...] = (*ORDER_COLUMNS, *ROUTE_COLUMNS, *TARGET_COLUMNS)

@@ -9,10 +9,11 @@ also gives their true size.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.operators.dedup import keys_are_unique, lowest_per_key
@@ -33,6 +34,7 @@ def lookup(
     how: str = "left",
     on_duplicate: str = "allow",
     spread: int = 1,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Add columns of `dim` to the rows of `df`.
 
@@ -44,6 +46,8 @@ def lookup(
                   "error": a repeated key raises
     spread        for a dim too large to broadcast: copies of each dim row over which the rows of one key are
                   divided, so that a hot key is joined by that many tasks
+    hot_share     the same for hot keys alone: keys that hold this share of the rows or more are found beforehand (`hot_keys`,
+                  a pass over the key columns), each is divided by its size, and only its rows of dim are copied
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how}")
@@ -64,6 +68,16 @@ def lookup(
         raise ValueError(f"lookup keys are not unique: {', '.join(on.values())}")
 
     conditions = [F.col(ours) == F.col(theirs) for ours, theirs in zip(on, dim_keys)]
+    if hot_share is not None:
+        if spread > 1:
+            raise ValueError("give spread or hot_share, not both")
+        hot = hot_keys(df, list(on), hot_share)
+        if hot:
+            parts = max(2, *hot.values())
+            ours, theirs = (_copies(F.xxhash64(*[F.col(key) for key in keys]), hot) for keys in (list(on), dim_keys))
+            df = df.withColumn(SALT, F.pmod(_salt(df, parts), ours))
+            side = side.withColumn(f"{SALT}_dim", F.explode(F.sequence(F.lit(0), theirs - 1)))
+            conditions.append(F.col(SALT) == F.col(f"{SALT}_dim"))
     if spread > 1:
         df = df.withColumn(SALT, _salt(df, spread))
         side = side.withColumn(f"{SALT}_dim", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
@@ -72,6 +86,29 @@ def lookup(
     return joined.drop(*dim_keys, SALT, f"{SALT}_dim")
 
 
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> dict[int, int]:
+    """Hashes of the keys that hold `share` of the rows or more, with the number of parts to deal each key's rows into.
+
+    A mergeable sketch of frequent items is filled by each task and merged, in one pass over the key columns; it tracks so
+    many items that counts are off by less than a quarter of `share`. A key a little below the share may be among those
+    found. At most 4 / (3 * share) keys reach the driver, however many there are. A key's parts hold `share` of the rows each.
+    """
+    if not 0 < share < 1:
+        raise ValueError("a share lies between 0 and 1")
+    tracked = 1 << (math.ceil(16 / share) - 1).bit_length()
+    most = math.ceil(4 / (3 * share))
+    found = df.select(F.xxhash64(*keys).alias("__key")).agg(F.expr(f"approx_top_k(__key, {most}, {tracked})").alias("top"), F.count("*").alias("n")).first()
+    return {item["item"]: math.ceil(item["count"] / (share * found["n"])) for item in found["top"] or [] if 4 * item["count"] >= 3 * share * found["n"]}
+
+
+def _copies(key: Column, hot: dict[int, int]) -> Column:
+    """Into how many parts the rows of a key are dealt: one, if it is not hot."""
+    parts = F.lit(1)
+    for number in sorted(set(hot.values()) - {1}):
+        parts = F.when(key.isin([item for item, count in hot.items() if count == number]), number).otherwise(parts)
+    return parts
+
+
 def _salt(df: DataFrame, spread: int):
     """A bucket 0..spread-1 per row that a rerun of the task gives again.
 

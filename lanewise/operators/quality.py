@@ -16,14 +16,6 @@ def profile(df: DataFrame, keys: list[str]) -> DataFrame:
     ).withColumn("column_count", F.lit(len(df.columns)))
 
 
-def require_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Fail if a key has several rows, as it has after a lookup in which a key was listed twice."""
-    found = profile(df.select(*keys), keys).first()
-    if found["row_count"] > found["key_count"]:
-        raise ValueError(f"{name}: {found['row_count']} rows for {found['key_count']} values of {keys[0]}, ...")
-    return df
-
-
 def column_types(df: DataFrame) -> dict[str, str]:
     """Name and type of each column; reads no data."""
     return dict(df.dtypes)

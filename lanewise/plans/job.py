@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lanewise.config import PipelineConfig
-from lanewise.operators.quality import require_unique
+from lanewise.plans.runs import Run
 from lanewise.plans.shipments import PACKAGE_KEYS, enrich, features, model_sets
 from lanewise.plans.training import Trained, train_and_report
-from lanewise.sources import TABLES, read, read_table, stage, write
+from lanewise.sources import TABLES, read, read_table, write
 from lanewise.sources.schemas import lost_values
 
 #: The enriched table is laid out by delivery date, which the sets are cut by; the second column splits a busy day.
@@ -41,17 +41,18 @@ def prepare(tables: dict[str, DataFrame], cfg: PipelineConfig) -> dict[str, str]
     """Write the reporting table, the enriched table and the train and test sets; return their paths by name.
 
     A package is told by all its own columns, since an order and tracking number may stand for several. One with several
-    rows ends the job, unless `cfg.allow_fan_out`.
+    rows ends the job, unless `cfg.allow_fan_out`. Each table is a step of a `Run`: after a failure, or when the driver was
+    lost, a call with the same settings goes on after the last table that was written whole, and `runs.manifest` tells rows,
+    packages and seconds of each. A finished run does nothing; give another `run_tag` for other input.
     """
-    checked = _unchecked if cfg.allow_fan_out else require_unique
-    reporting = checked(stage(enrich(tables, cfg), cfg.reporting_path, partitions=cfg.output_files), PACKAGE_KEYS, "reporting")
-    enriched = stage(features(reporting, tables, cfg), cfg.enriched_path, partitions=cfg.output_files, range_by=LAYOUT)
-    sets = model_sets(checked(enriched, PACKAGE_KEYS, "enriched"), cfg)
-    return {name: write(df, cfg.set_path(name)) for name, df in sets.items()}
-
-
-def _unchecked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return df
+    run, unique = Run(next(iter(tables.values())).sparkSession, cfg), not cfg.allow_fan_out
+    count = {"keys": PACKAGE_KEYS, "unique": unique}
+    reporting = run.step("reporting", cfg.reporting_path, lambda: enrich(tables, cfg), partitions=cfg.output_files, **count)
+    enriched = run.step("enriched", cfg.enriched_path, lambda: features(reporting, tables, cfg), partitions=cfg.output_files, range_by=LAYOUT, **count)
+    paths = {name: cfg.set_path(name) for name in cfg.date_ranges}
+    for name, path in paths.items():
+        run.step(f"set-{name}", path, lambda name=name: model_sets(enriched, cfg)[name])
+    return paths
 
 
 def train(spark: SparkSession, cfg: PipelineConfig) -> Trained:

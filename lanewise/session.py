@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,34 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return f"{shared_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other call gets; in a `scratch` block, in that block's folder."""
+    folder = _SCRATCH[-1] if _SCRATCH else f"{shared_dir(spark).rstrip('/')}/staged"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store holds it; none is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is staged in this block goes to a folder of its own, which is removed at the end, also after an error.
+
+    Only what was written for good may be read afterwards. A driver that was killed leaves the folder; a block of the same name
+    removes it first, so names must differ between runs that go on at the same time. Blocks of one driver follow each other or
+    lie in one another.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/staged/{name}"
+    remove(spark, folder)
+    _SCRATCH.append(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.pop()
+        remove(spark, folder)

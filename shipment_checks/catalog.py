@@ -190,6 +190,20 @@ def lookup_first_of_duplicates(spark, sf_dir):
     return lookup(rows, items, ["l_partkey", "l_suppkey"], prices, on_duplicate="first")
 
 
+@query(
+    """select l_orderkey, l_linenumber, l_extendedprice, cast(part as double) as part, p_brand as brand, cast(p_size as double) as size
+    from (select *, case when l_orderkey % 3 = 0 then 1 when l_orderkey % 7 = 0 then null else l_partkey end as part from lineitem)
+    left join part on part = p_partkey"""
+)
+def lookup_hot_keys(spark, sf_dir):
+    """A third of the rows has one key and a tenth none; both are found on the way and dealt out over several tasks."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 7 != 0, F.col("l_partkey"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", key.cast("double").alias("part"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("double").alias("p_partkey"), "p_brand", "p_size")
+    found = lookup(items, parts, {"part": "p_partkey"}, {"p_brand": "brand", "p_size": "size"}, hot_share=0.05)
+    return found.withColumn("size", F.col("size").cast("double"))
+
+
 @query(
     f"""select ORDER_ID as order_id, SHIPMENT_TRACKING_NUMBER as tracking, l.FFMCENTER_NAME as site,
       o.Cutoff as cutoff, o.AdjTNT as adjtnt, cast(o.NextAdjTNT as integer) as nextadjtnt

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanewise.operators import by_date, count_over, first_per_key, join_groups, lookup, trailing_stats, value_domains
+from lanewise.operators.joins import _copies, hot_keys
 from lanewise.sources import stage
 from tests.conftest import SF_DIR
 from tests.helpers import count_of, final_plan, plan, rows
@@ -48,6 +49,32 @@ def test_spread_divides_a_hot_key_over_tasks(spark, hot, conf):
     assert out.agg(F.count("*"), F.sum("v") - 2 * F.sum("key")).first() == (90_000, 0)
 
 
+def test_hot_keys_are_found_and_only_their_rows_copied(spark, hot, conf):
+    """A third of the rows has one key that nobody named; copies of the lookup are made of its rows alone."""
+    conf(spark__sql__adaptive__enabled="false")
+    dim = spark.range(0, 90_000, 1, 8).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    found = hot_keys(hot, ["key"], 0.02)
+    assert list(found.values()) == [17] and found == hot_keys(hot.repartition(3), ["key"], 0.02)
+    out = lookup(hot, dim, ["key"], ["v"], hot_share=0.02)
+    per_task = out.groupBy(F.spark_partition_id()).agg(F.count_if(F.col("key") == 7).alias("hot"))
+    assert per_task.agg(F.max("hot")).first()[0] < 30_000 / 3
+    assert out.agg(F.count("*"), F.sum("v") - 2 * F.sum("key")).first() == (90_000, 0)
+    copies = dim.withColumn("n", _copies(F.xxhash64("key"), found)).agg(F.sum("n")).first()
+    assert copies == (90_000 + 16,)
+
+
+def test_hot_null_and_double_keys_join_as_a_plain_lookup(spark):
+    df = spark.range(0, 6_000, 1, 3).select(F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, 5).otherwise(F.col("id")).alias("a"), (F.col("id") % 2).alias("b"), "id")
+    dim = spark.createDataFrame([(5, 0, "x"), (5, 0, "y"), (5, 1, None), (None, 0, "z"), (2, 0, "w")], "a long, b long, v string")
+    for how in ("left", "inner"):
+        plain = lookup(df, dim, ["a", "b"], ["v"], how)
+        assert rows(lookup(df, dim, ["a", "b"], ["v"], how, hot_share=0.1)) == rows(plain)
+    assert lookup(df.limit(0), dim, ["a", "b"], ["v"], hot_share=0.1).count() == 0
+    assert hot_keys(spark.range(100).toDF("a"), ["a"], 0.05) == {}
+    with pytest.raises(ValueError, match="not both"):
+        lookup(df, dim, ["a", "b"], ["v"], spread=2, hot_share=0.1)
+
+
 def test_rows_are_joined_with_small_summaries_without_a_shuffle(spark):
     df = stage(
         spark.range(0, 20_000, 1, 8).select(
