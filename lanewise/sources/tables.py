@@ -6,10 +6,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewise.session import staging_path
-from lanewise.sources.schemas import conform
+from lanewise.sources.schemas import conform, require_columns
 
 
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -33,6 +34,32 @@ def read(spark: SparkSession, path: str, format: str = "parquet", schema: T.Stru
     return conform(df, schema) if schema is not None else df
 
 
+def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of a directory of CSV files with a header: the records that parse, in `schema`, and those that do not.
+
+    A record is rejected if it has more or fewer fields than the header, or a field that is there but does not parse as its
+    column's type. `rejected` has its file, its text, and the reason. Empty fields are nulls and reject nothing; empty
+    lines are no records. Columns that `schema` lacks are counted but not read. Both tables are read lazily from one parse.
+    """
+    header = spark.read.option("header", True).csv(path).schema
+    taken = {name.lower() for name in header.names}
+    text, place = ("__record", "__file")
+    if {text, place} & taken:
+        raise ValueError(f"a column must not be called {text} or {place}")
+    raw = T.StructType([*[T.StructField(name, T.StringType()) for name in header.names], T.StructField(text, T.StringType())])
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", text)
+    records = reader.schema(raw).csv(path).withColumn(place, F.col("_metadata.file_path"))
+    require_columns(records, schema.names)
+    lost = [F.when(F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull(), field.name) for field in schema.fields]
+    wrong = F.concat_ws(", ", *lost)
+    reason = F.when(F.col(text).isNotNull(), "number of fields").when(wrong != "", F.concat(F.lit("does not parse: "), wrong))
+    records = records.withColumn("__reason", reason)
+    # What was a record's text is known for broken ones; of others it is put together again from their fields.
+    whole = F.coalesce(F.col(text), F.concat_ws(",", *[F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in header.names]))
+    rejected = records.filter("__reason IS NOT NULL").select(F.col(place).alias("file"), whole.alias("record"), F.col("__reason").alias("reason"))
+    return conform(records.filter("__reason IS NULL"), schema), rejected
+
+
 def write(
     df: DataFrame,
     path: str,

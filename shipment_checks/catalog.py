@@ -35,6 +35,7 @@ from lanewise.operators import (
     trailing_stats,
 )
 from lanewise.operators import by_date as split_by_date
+from lanewise.operators.dictionary import dictionary, with_codes
 from lanewise.plans import shipments as plan
 from lanewise.plans.training import train_and_report
 from lanewise.session import staging_path
@@ -147,6 +148,29 @@ def csv_round_trip(spark, sf_dir):
     return sources.read(spark, path, "csv", customer.schema)
 
 
+_RECORD = "c_custkey || ',' || case when c_custkey % 7 = 0 then c_name else c_nationkey::varchar end || case when c_custkey % 11 = 0 then ',more' else '' end"
+
+
+@query(
+    f"""select cast(c_custkey as double) as key, cast(c_nationkey as double) as nation, null as record, null as reason from customer
+      where c_custkey % 7 <> 0 and c_custkey % 11 <> 0
+    union all select null, null, {_RECORD}, case when c_custkey % 11 = 0 then 'number of fields' else 'does not parse: nation' end
+    from customer where c_custkey % 7 = 0 or c_custkey % 11 = 0"""
+)
+def csv_bad_records(spark, sf_dir):
+    """Records that do not parse go to a table of their own, with text and reason; the others go on."""
+    field = F.when(F.col("c_custkey") % 7 == 0, F.col("c_name")).otherwise(F.col("c_nationkey").cast("string"))
+    more = F.when(F.col("c_custkey") % 11 == 0, ",more").otherwise("")
+    record = F.concat(F.col("c_custkey").cast("string"), F.lit(","), field, more)
+    lines = table(spark, sf_dir, "customer").select(record.alias("value")).sortWithinPartitions("value")
+    header = spark.createDataFrame([("key,nation",)], "value string")
+    path = staging_path(spark, "records")
+    header.unionByName(lines).coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("nation", T.IntegerType())])
+    rows, rejected = sources.read_checked(spark, path, schema)
+    return plain(report.append(rows, rejected.drop("file")), doubles=("key", "nation"))
+
+
 # --- lookups ---------------------------------------------------------------------------------------------------
 
 
@@ -566,6 +590,20 @@ def encoded_values(spark, sf_dir):
     return encoding.encoded_values(table(spark, sf_dir, "part"), ["p_brand", "p_type"])
 
 
+@query(
+    """select p_partkey, cast(dense_rank() over (order by p_name) - 1 as double) as p_name_code,
+      case when p_size % 5 > 0 then cast(b.code as double) end as brand_code
+    from part left join (select p_brand, row_number() over (order by p_brand) - 1 as code
+      from (select distinct p_brand from part where p_size % 5 > 0)) b using (p_brand)"""
+)
+def category_codes(spark, sf_dir):
+    """Dense codes of a column with a value for nearly each row, and of one with nulls, from a dictionary that is a table."""
+    brand = F.when(F.col("p_size") % 5 > 0, F.col("p_brand")).alias("brand")
+    part = sources.stage(table(spark, sf_dir, "part").select("p_partkey", "p_name", brand), name="parts")
+    known = dictionary(part, ["p_name", "brand"])
+    return plain(with_codes(part, known, ["p_name", "brand"]).drop("p_name", "brand"), doubles=("p_name_code", "brand_code"))
+
+
 _TAGS = " ".join(
     f"when o_orderdate >= date '{start}' and o_orderdate < date '{end}' then '{name}'"
     for name, (start, end) in DATE_RANGES.items()

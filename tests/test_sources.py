@@ -68,3 +68,21 @@ def test_json_keeps_codes(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"zip": "00501", "n": 3}\n{"zip": "x"}\n')
     schema = T.StructType([T.StructField("zip", T.StringType()), T.StructField("n", T.IntegerType())])
     assert sorted(map(tuple, sources.read(spark, str(tmp_path), "json", schema).collect())) == [("00501", 3), ("x", None)]
+
+
+def test_records_that_do_not_parse_go_to_a_table_of_their_own(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('day,zip,n\n2023-01-02,00501,1\n2023-13-02,00502,2\n\n2023-01-03,"1,2",\n,,\n')
+    (tmp_path / "b.csv").write_text("day,zip,n\n2023-01-04,00503\n2023-01-05,00504,5,6\nx,00505,y\n")
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("day", T.DateType()), T.StructField("zip", T.StringType())])
+    good, rejected = sources.read_checked(spark, str(tmp_path), schema)
+    assert good.schema == schema
+    assert rows(good) == sorted([(1, dt.date(2023, 1, 2), "00501"), (None, dt.date(2023, 1, 3), "1,2"), (None, None, None)], key=repr)
+    found = {row.record: (row.file.rsplit("/", 1)[1], row.reason) for row in rejected.collect()}
+    assert found == {
+        "2023-13-02,00502,2": ("a.csv", "does not parse: day"),
+        "2023-01-04,00503": ("b.csv", "number of fields"),
+        "2023-01-05,00504,5,6": ("b.csv", "number of fields"),
+        "x,00505,y": ("b.csv", "does not parse: n, day"),
+    }
+    with pytest.raises(ValueError, match="missing columns: other"):
+        sources.read_checked(spark, str(tmp_path), T.StructType([T.StructField("other", T.StringType())]))
