@@ -41,8 +41,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("private", private), ("mix", mix), ("tokens", tokens)]
-#: A language model, a hash and tokenizers: none of the stages can be said in SQL. tests/llm compares near-duplicates and tokens
-#: with brute force, and the other stages with their operators.
+#: A language model, a hash and tokenizers: none of the stages can be said in SQL. tests/llm compares the tokens with the texts
+#: they came from, and the other stages with their operators, which have tests of their own.
 ORACLE_SQL = None
 
 
