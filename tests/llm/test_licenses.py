@@ -45,10 +45,10 @@ def spans(text):
 
 
 def broken(rng, text, errors):
+    """The text with so many characters dropped, put in or changed."""
     for _ in range(errors):
-        at = rng.randrange(1, len(text) - 1)
-        kind = rng.randrange(3)
-        text = text[:at] + ["", text[at], rng.choice("abcxyz")][kind] + (text[at + 1 :] if kind != 1 else text[at:]) if kind != 1 else text[:at] + rng.choice("abcxyz") + text[at:]
+        at, new = rng.randrange(1, len(text) - 1), rng.choice("abcxyz")
+        text = text[:at] + rng.choice([text[at + 1 :], new + text[at:], new + text[at + 1 :]])
     return text
 
 
