@@ -13,6 +13,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from lanewise.sources import stage
 
 #: Ids after which a segment ends; a longer document is a segment of its own.
 SEGMENT_IDS = 1_000_000
-#: Words whose ids a task remembers.
+#: Words whose ids a Python worker remembers, from one task to the next.
 CACHE_WORDS = 400_000
 WORD_BITS = 64
 
@@ -83,7 +84,7 @@ class WordIds:
     def __init__(self, path: str):
         import regex
 
-        self.tokenizer, self.known, self.find = _vocabulary(path), {}, None
+        self.tokenizer, self.known, self.old, self.find = _vocabulary(path), {}, {}, None
         steps = json.loads(self.tokenizer.to_str())
         self.added = [x["content"].lower() for x in steps["added_tokens"] or []]
         normal = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])]
@@ -109,13 +110,20 @@ class WordIds:
         words = text.encode().split()
         new = set(words).difference(self.known)
         if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known.clear()
-                new = set(words)
-            self._learn(list(new))
+            if len(self.known) + len(new) > CACHE_WORDS // 2:  # words not met since the last turn are forgotten
+                self.old, self.known, new = self.known, {}, set(words)
+            again = [word for word in new if word in self.old]
+            self.known.update((word, self.old[word]) for word in again)
+            self._learn(list(new.difference(again)))
         return b"".join(map(self.known.__getitem__, words))
 
 
+@lru_cache(maxsize=2)
+def worker_words(path: str) -> WordIds:
+    """The tokenizer and the words met so far, kept in a Python worker for its next tasks; a new worker starts empty."""
+    return WordIds(path)
+
+
 _FILE = (
     "part int, segment int, before long, doc_ids array<long>, lengths array<long>, "
     "chunks array<binary>, bitmaps array<binary>, directories array<binary>"
@@ -126,15 +134,19 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 1, segment_ids: int =
     """Encode every text, append `end_id`, write segments in ascending order of doc_id (missing first), and read them back.
 
     A missing or empty text is the end id alone. Repeated rows stand next to each other. An empty table gives no segments.
-    Documents are dealt by ranges of doc_id before they are encoded, so each is encoded once.
+    Documents are dealt by ranges of doc_id and a hash of the text before they are encoded, so each is encoded once, and the
+    rows of one id, or of a missing one, are shared out unless they are equal too.
     """
     rows = texts(docs, id_col, text_col)
-    rows = rows.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    order = ["doc_id", F.xxhash64("text")]
+    rows = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, encode, end = TaskContext.get().partitionId(), WordIds(path), np.array([end_id], dtype="<u4").tobytes()
+        from lanewise.llm.token_files import worker_words
+
+        part, encode, end = TaskContext.get().partitionId(), worker_words(path), np.array([end_id], dtype="<u4").tobytes()
         number, before, held, bodies, size = 0, 0, [], [], 0
 
         def segment():

@@ -18,6 +18,22 @@ def test_markers_equal_the_library():
         assert np.frombuffer(ours(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_are_forgotten_by_halves(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 8)
+    library, ours = Tokenizer.from_file(PATH), token_files.WordIds(PATH)
+    for text in ["a b c", "a d e f", "a g", "one text of many more words than are kept", "a b", "", *TEXTS]:
+        assert np.frombuffer(ours(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+        assert len(ours.known) <= max(4, len(set(text.split())))
+
+
+def test_rows_of_one_id_are_shared_out(spark):
+    rows = spark.createDataFrame([(7, f"text {i}") for i in range(400)], "doc_id long, text string")
+    written = token_files.write_tokens(rows, PATH)
+    assert written.select("part").distinct().count() > 1
+    found = token_files.read_tokens(written).orderBy("start").collect()
+    assert len(found) == 400 and found[-1].start + found[-1].n_tokens == sum(r.n_tokens for r in found)
+
+
 def test_files_with_markers(spark):
     library, at = Tokenizer.from_file(PATH), 0
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
