@@ -34,6 +34,8 @@ END, START = 0, 1
 #: Keys of a shard, summed over blocks, that a task is to hold; with 40-bit keys one lookup in a million then hits a wrong key.
 SHARD_KEYS = 2_000_000
 KEY_BITS = 40
+#: Keys of a model up to which a filter of them goes to every task: at most four bytes a key.
+FILTER_KEYS = 8_000_000
 STATS = ("tokens", "contexts", "ones", "twos", "more", "before")
 
 
@@ -264,6 +266,58 @@ def _discounts(counts: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), found))
 
 
+class KeyFilter:
+    """Which keys a model may hold: a Bloom filter per kind of key and shard. It errs for about one key in 200, to yes."""
+
+    def __init__(self, rows: list, shards: int):
+        """`rows` has (kind, shard, bits), at most one per kind and shard; bits of a power of two."""
+        self.first, self.size = np.zeros((2, shards), np.uint64), np.zeros((2, shards), np.uint64)
+        parts, at = [np.zeros(1, dtype=np.uint8)], 8  # shards without keys look here
+        for kind, shard, bits in rows:
+            self.first[kind, shard], self.size[kind, shard] = at, 8 * len(bits)
+            parts.append(np.frombuffer(bits, dtype=np.uint8))
+            at += 8 * len(bits)
+        self.bits = np.concatenate(parts)
+
+    @staticmethod
+    def places(keys: np.ndarray, size: np.ndarray | np.uint64) -> list[np.ndarray]:
+        one = _mixed(keys ^ np.uint64(0x9E3779B97F4A7C15))
+        step = _mixed(one) | np.uint64(1)
+        return [(one + np.uint64(i) * step) & (size - np.uint64(1)) for i in range(3)]
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> bytes:
+        """The bits of a shard's keys, 16 to 32 for each."""
+        size = max(64, 1 << (16 * len(keys) - 1).bit_length())
+        bits = np.zeros(size, dtype=bool)
+        for place in cls.places(keys, np.uint64(size)):
+            bits[place] = True
+        return np.packbits(bits, bitorder="little").tobytes()
+
+    def __call__(self, kind: int, keys: np.ndarray, key_bits: int) -> np.ndarray:
+        shard = (keys >> np.uint64(key_bits)).astype(np.int64)
+        size, first = self.size[kind][shard], self.first[kind][shard]
+        there = size > 0
+        for place in self.places(keys, np.maximum(size, np.uint64(1))):
+            at = np.where(there, first + place, np.uint64(0))
+            there &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return there
+
+
+def key_filter(model: Model) -> KeyFilter | None:
+    """The filter of a model small enough for every task to hold its bits; None for one of more keys than FILTER_KEYS."""
+    if model.bigram_types + model.vocabulary > FILTER_KEYS:
+        return None
+
+    def bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame[["kind", "shard"]].assign(bits=[KeyFilter.of(unpack_sorted(x)) for x in frame["keys"]])
+
+    keys = model.bigrams.select(F.lit(0).alias("kind"), "shard", "keys").unionByName(model.words.select(F.lit(1).alias("kind"), "shard", "keys"))
+    rows = keys.mapInPandas(bits, "kind int, shard long, bits binary").collect()  # at most four bytes for each of FILTER_KEYS
+    return KeyFilter([(x.kind, x.shard, bytes(x.bits)) for x in rows], 1 << model.shard_bits)
+
+
 def _mapped(keys: np.ndarray):
     """The array in a file of no name, mapped into memory: pages come and go as lookups need them."""
     if not len(keys):
@@ -282,22 +336,35 @@ def _looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndar
     return place, keys[place] == asked
 
 
-def scores(held: Blocks, model: Model) -> DataFrame:
+def scores(held: Blocks, model: Model, known_keys: KeyFilter | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) per row: log10 probabilities of the text with its end.
 
-    base_score is the unigram model with 0.1 added to every count. The blocks' key width must be the model's.
+    base_score is the unigram model with 0.1 added to every count. The blocks' key width must be the model's. With
+    `known_keys`, words and bigrams that the model surely lacks ask no shard; the scores are the same, as all others do.
     """
     shard_bits, key_bits = model.shard_bits, model.key_bits
     drop = 64 - shard_bits - key_bits
+    sent = None if known_keys is None else held.rows.sparkSession.sparkContext.broadcast(known_keys)
+
+    def lookups(row, codes: np.ndarray, before: np.ndarray):
+        """Keys of a block's tokens with the one before, and of its words; which of either ask, and a block's ascending bigrams."""
+        words = np.frombuffer(row.words, dtype="<u8")
+        pair, single = _pair_keys(words, before, codes, drop), _word_keys(words, drop)
+        if sent is None:
+            return pair, single, np.ones(len(pair), dtype=bool), np.ones(len(single), dtype=bool), np.unique(pair)
+        word = sent.value(1, single, key_bits)
+        asks = word[before] & word[codes]
+        asks[asks] = sent.value(0, pair[asks], key_bits)
+        return pair, single, asks, word, np.unique(pair[asks])
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
                 codes, before, _, _ = _positions(row)
-                words = np.frombuffer(row.words, dtype="<u8")
-                keys = np.unique(_pair_keys(words, before, codes, drop))
-                yield _by_shard(row.block, keys, {}, key_bits).assign(kind=0)
-                yield _by_shard(row.block, np.sort(_word_keys(words, drop)), {}, key_bits).assign(kind=1)
+                _, single, _, word, pairs = lookups(row, codes, before)
+                for kind, keys in ((0, pairs), (1, np.sort(single[word]))):
+                    if len(keys):
+                        yield _by_shard(row.block, keys, {}, key_bits).assign(kind=kind)
 
     asked = held.rows.mapInPandas(ask, "shard long, block long, keys binary, kind int")
 
@@ -327,19 +394,20 @@ def scores(held: Blocks, model: Model) -> DataFrame:
         for frame in frames:
             for row in frame.itertuples():
                 codes, before, lengths, _ = _positions(row)
-                words = np.frombuffer(row.words, dtype="<u8")
-                kinds = [[x for x in row.answers if x["kind"] == kind] for kind in (0, 1)]
-                pair = _pair_keys(words, before, codes, drop)
-                count = flat(_concatenated(kinds[0], "counts")).astype(np.int64)[np.searchsorted(np.unique(pair), pair)]
-                order = np.argsort(_word_keys(words, drop), kind="stable")
-                stats = np.empty((len(STATS), len(words)), dtype=np.int64)
-                stats[:, order] = np.concatenate([x.reshape(len(STATS), -1) for x in _concatenated(kinds[1], "counts")], axis=1).astype(np.int64)
+                kinds = [[x for x in row.answers if x["kind"] == kind] if row.answers is not None else [] for kind in (0, 1)]
+                pair, single, asks, word, pairs = lookups(row, codes, before)
+                count = np.zeros(len(pair), dtype=np.int64)
+                count[asks] = flat(_concatenated(kinds[0], "counts")).astype(np.int64)[np.searchsorted(pairs, pair[asks])]
+                order = np.flatnonzero(word)[np.argsort(single[word], kind="stable")]
+                stats = np.zeros((len(STATS), len(single)), dtype=np.int64)
+                if len(order):
+                    stats[:, order] = np.concatenate([x.reshape(len(STATS), -1) for x in _concatenated(kinds[1], "counts")], axis=1).astype(np.int64)
                 seen = stats[0]
                 base = np.log10((seen + 0.1) / (tokens + 0.1 * (size + 1)))
-                single = rest / (size + 1) + (stats[5] - e[np.minimum(stats[5], 3)]) / types
+                alone = rest / (size + 1) + (stats[5] - e[np.minimum(stats[5], 3)]) / types
                 context = np.maximum(stats[1], 1)
                 back = np.where(stats[1] > 0, (d[1] * stats[2] + d[2] * stats[3] + d[3] * stats[4]) / context, 1.0)
-                p = np.where(stats[1][before] > 0, (count - d[np.minimum(count, 3)]) / context[before], 0.0) + back[before] * single[codes]
+                p = np.where(stats[1][before] > 0, (count - d[np.minimum(count, 3)]) / context[before], 0.0) + back[before] * alone[codes]
                 starts = np.cumsum(lengths) - lengths
                 add = lambda values: np.add.reduceat(values, starts)
                 yield pd.DataFrame(
@@ -352,5 +420,5 @@ def scores(held: Blocks, model: Model) -> DataFrame:
                     }
                 )
 
-    rows = held.rows.join(gathered, "block")
+    rows = held.rows.join(gathered, "block", "left")
     return rows.mapInPandas(finish, "doc_id long, n_tokens long, n_known long, base_score double, score double")
