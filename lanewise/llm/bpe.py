@@ -4,8 +4,8 @@ Blocks of documents are split into pre-tokens. A block keeps the positions, as o
 pre-tokens with their numbers. The distinct pre-tokens go to shards by a hash of their bytes: that is the global shuffle,
 reduced beforehand to one entry per word and block, so that no word can be hot. A shard encodes each of its words once and
 answers every block. The ids are joined with the token-byte table, the answers meet their block again, and the block's
-numbers put ids and bytes back in order. Blocks lie in buckets of the shared folder: the positions themselves are never
-shuffled, and a lost executor repeats its tasks only.
+numbers put ids and bytes back in order. Blocks and answers lie in buckets of the shared folder: positions are never
+shuffled, answers once, and a lost executor repeats its tasks only.
 """
 
 from __future__ import annotations
@@ -78,31 +78,42 @@ def blocks(docs: DataFrame, pattern: str, max_chars: int = BLOCK_CHARS, id_col:
     return stage_bucketed(texts(docs, id_col, text_col).mapInPandas(run, schema), "block", partitions(spark), "bpe_blocks")
 
 
-def encoded_words(held: DataFrame, ranks: list[tuple[bytes, int]]) -> DataFrame:
-    """(block, codes, lengths, ids): for every block and shard, its words' numbers, their numbers of ids, and the ids."""
+def _by_shard(words: list[bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shard of each of a block's words, and the numbers of the words in the order of their shards.
+
+    Both follow from the words alone, so neither the shards nor the answers have to carry the numbers.
+    """
+    import xxhash
+
+    shard = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) % np.uint64(shards)
+    return shard, np.argsort(shard, kind="stable")
+
+
+def encoded_words(held: DataFrame, ranks: list[tuple[bytes, int]]) -> tuple[DataFrame, int]:
+    """(block, answers) per block, staged, and the number of shards: per shard the words' numbers of ids, and the ids.
+
+    A shard answers in the order in which it was asked, see `_by_shard`. The answers lie in buckets like the blocks, so both
+    joins with them move nothing but the bytes of tokens.
+    """
     n_words = held.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     shards = max(partitions(held.sparkSession), n_words // SHARD_WORDS + 1)
 
     def scatter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
         for frame in frames:
             for block, data in zip(frame["block"], frame["words"]):
                 words = unpack_strings(data)
-                shard = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) % np.uint64(shards)
-                order = np.argsort(shard, kind="stable")
+                shard, order = _by_shard(words, shards)
                 cuts = np.flatnonzero(np.diff(shard[order])) + 1
                 rows = [part for part in np.split(order, cuts) if len(part)]
                 yield pd.DataFrame(
                     {
                         "shard": [int(shard[part[0]]) for part in rows],
                         "block": block,
-                        "codes": [pack(part) for part in rows],
                         "words": [pack_strings([words[i] for i in part.tolist()]) for part in rows],
                     }
                 )
 
-    spread = held.select("block", "words").mapInPandas(scatter, "shard long, block long, codes binary, words binary")
+    spread = held.select("block", "words").mapInPandas(scatter, "shard long, block long, words binary")
 
     def encode(frame: pd.DataFrame) -> pd.DataFrame:
         encoder, known = _encoder(ranks), {}
@@ -116,19 +127,18 @@ def encoded_words(held: DataFrame, ranks: list[tuple[bytes, int]]) -> DataFrame:
                 found.append(value)
             lengths.append(pack(np.fromiter(map(len, found), np.int64, len(found))))
             ids.append(pack(flat(found, np.uint32)))
-        return pd.DataFrame({"block": frame["block"], "codes": frame["codes"], "lengths": lengths, "ids": ids})
-
-    return spread.groupBy("shard").applyInPandas(encode, "block long, codes binary, lengths binary, ids binary")
-
+        return pd.DataFrame({"shard": frame["shard"], "block": frame["block"], "lengths": lengths, "ids": ids})
 
-def _gathered(answers: DataFrame) -> DataFrame:
-    fields = F.struct("codes", "lengths", "ids").alias("answer")
-    return answers.groupBy("block").agg(F.collect_list(fields).alias("answers"))
+    answers = spread.groupBy("shard").applyInPandas(encode, "shard long, block long, lengths binary, ids binary")
+    fields = F.struct("shard", "lengths", "ids").alias("answer")
+    gathered = answers.groupBy("block").agg(F.collect_list(fields).alias("answers"))
+    return stage_bucketed(gathered, "block", partitions(held.sparkSession), "bpe_words"), shards
 
 
-def _word_ids(answers: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _word_ids(row, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ids of a block's words, and by word number where they start and how many they are."""
-    codes = flat([unpack(x["codes"]) for x in answers]).astype(np.int64)
+    answers = sorted(row.answers if row.answers is not None else [], key=lambda x: x["shard"])
+    codes = _by_shard(unpack_strings(row.words), shards)[1]
     lengths = flat([unpack(x["lengths"]) for x in answers]).astype(np.int64)
     ids = flat([unpack(x["ids"]) for x in answers]).astype(np.uint32)
     starts, counts = np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes), dtype=np.int64)
@@ -136,9 +146,9 @@ def _word_ids(answers: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, starts, counts
 
 
-def _documents(row) -> Iterator[tuple[int | None, np.ndarray]]:
+def _documents(row, shards: int) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, token ids) of a block with its answers."""
-    ids, starts, counts = _word_ids(row.answers if row.answers is not None else [])
+    ids, starts, counts = _word_ids(row, shards)
     lengths, codes, at = unpack(row.lengths).astype(np.int64), unpack(row.codes).astype(np.int64), 0
     for doc_id, n in zip(row.ids, lengths.tolist()):
         own = codes[at : at + n]
@@ -160,16 +170,17 @@ def encode(
     """
     ranks = read_ranks(path)
     held = blocks(docs, pattern, max_chars, id_col, text_col)
+    answers, shards = encoded_words(held, ranks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                for chunk in _chunks(_documents(row)):
+                for chunk in _chunks(_documents(row, shards)):
                     yield pd.DataFrame(
                         {"doc_id": pd.array([_id(x) for x, _ in chunk], dtype="Int64"), "n_tokens": [len(x) for _, x in chunk], "ids": [x.astype(np.int32) for _, x in chunk]}
                     )
 
-    rows = held.drop("words").join(_gathered(encoded_words(held, ranks)), "block", "left")
+    rows = held.join(answers, "block", "left")
     return rows.mapInPandas(run, "doc_id long, n_tokens long, ids array<int>")
 
 
@@ -218,7 +229,7 @@ def digests(
     spark = docs.sparkSession
     ranks = read_ranks(path)
     held = blocks(docs, pattern, max_chars, id_col, text_col)
-    answers = stage(encoded_words(held, ranks), name="bpe_words")
+    answers, shards = encoded_words(held, ranks)
 
     def distinct(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -226,8 +237,7 @@ def digests(
                 ids = np.unique(flat([unpack(x["ids"]) for x in parts]))
                 yield pd.DataFrame({"block": block, "id": ids.astype(np.int64)})
 
-    gathered = _gathered(answers)
-    asked = gathered.mapInPandas(distinct, "block long, id long")
+    asked = answers.mapInPandas(distinct, "block long, id long")
     known = asked.join(token_table(spark, ranks), "id").groupBy("block").agg(F.collect_list(F.struct("id", "bytes")).alias("known"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,7 +248,7 @@ def digests(
                 of = [bytes(x["bytes"]) for x in table]
                 place = np.full(int(keys.max()) + 1 if len(keys) else 0, len(of), dtype=np.int64)
                 place[keys] = np.arange(len(keys))
-                for chunk in _chunks(_documents(row)):
+                for chunk in _chunks(_documents(row, shards)):
                     out = []
                     for doc_id, ids in chunk:
                         body = hashlib.sha256()
@@ -248,5 +258,5 @@ def digests(
                     done = pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
                     yield done.assign(ids=[x.astype(np.int32) for _, x in chunk]) if with_ids else done
 
-    rows = held.drop("words").join(gathered, "block", "left").join(known, "block", "left")
+    rows = held.join(answers, "block", "left").join(known, "block", "left")
     return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
