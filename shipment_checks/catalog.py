@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewise import sources
-from lanewise.config import ENCODED_COLUMNS, WEEKEND_LABELS, BoostParams
+from lanewise.config import ENCODED_COLUMNS, WEEKEND_LABELS, BoostParams, PipelineConfig
 from lanewise.functions import calendars, clock, labels
 from lanewise.models import boosting
 from lanewise.operators import encoding
@@ -757,7 +757,6 @@ def model_sets(spark, sf_dir):
 
 # --- models -----------------------------------------------------------------------------------------
 
-SMALL_TREES = BoostParams(rounds=5, max_depth=6)
 MODEL_FEATURES = ["state", "weight", "zone", "dow", *[f"avg_{lo}_{hi}_days_dow_zone" for lo, hi in RANGES]]
 
 
@@ -767,8 +766,16 @@ def model_input(spark, sf_dir) -> DataFrame:
     return sources.stage(keep_between(df, "days", 0, 11), name="model-input")
 
 
-def base_model(df: DataFrame):
-    return boosting.fit(df, MODEL_FEATURES, "days", ["state"], SMALL_TREES)
+_TRAINED = {}
+
+
+def base_model(spark, sf_dir):
+    """The staged input and the model with the standard parameters, trained once per application for all queries that use it."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _TRAINED:
+        df = model_input(spark, sf_dir)
+        _TRAINED[at] = df, boosting.fit(df, MODEL_FEATURES, "days", ["state"], PipelineConfig().boost)
+    return _TRAINED[at]
 
 
 _CUTS = " union all ".join(
@@ -916,8 +923,8 @@ def stacked_out_of_fold(spark, sf_dir):
 
 @query()
 def gbt_predictions(spark, sf_dir):
-    df = model_input(spark, sf_dir)
-    return plain(boosting.predict(base_model(df), df, "ml_pred").select("tracking", "ship_date", "days", "ml_pred"))
+    df, base = base_model(spark, sf_dir)
+    return plain(boosting.predict(base, df, "ml_pred").select("tracking", "ship_date", "days", "ml_pred"))
 
 
 @query()
@@ -930,9 +937,9 @@ def gbt_tuned(spark, sf_dir):
 
 @query()
 def stacked_predictions(spark, sf_dir):
-    df = model_input(spark, sf_dir)
-    base = base_model(df)
-    stacked = boosting.stack(df, base, ["state", "weight", "dow"], "days", ["state"], SMALL_TREES)
+    """The standard second model, on few features and the first one's rounded predictions."""
+    df, base = base_model(spark, sf_dir)
+    stacked = boosting.stack(df, base, ["state", "weight", "dow"], "days", ["state"], PipelineConfig().stack_boost)
     scored = boosting.with_predictions(df, base, stacked)
     names = ["ml_pred", "ml_pred_rounded", "ensemble_pred", "ensemble_pred_rounded"]
     return plain(scored.select("tracking", "ship_date", "days", *names))
@@ -940,17 +947,16 @@ def stacked_predictions(spark, sf_dir):
 
 @query()
 def split_counts(spark, sf_dir):
-    return boosting.split_counts(base_model(model_input(spark, sf_dir)))
+    return boosting.split_counts(base_model(spark, sf_dir)[1])
 
 
 @query()
 def gain_importances(spark, sf_dir):
-    return boosting.importances(base_model(model_input(spark, sf_dir)))
+    return boosting.importances(base_model(spark, sf_dir)[1])
 
 
 @query()
 def training_report(spark, sf_dir):
-    """The whole job: shipment lines to the report of both models' predictions."""
+    """The whole job: shipment lines to the report of both models' predictions, with the standard parameters."""
     sets = {name: sources.stage(df, name=name) for name, df in model_sets_of(spark, sf_dir).items()}
-    cfg = view.config(boost=SMALL_TREES, stack_boost=SMALL_TREES)
-    return plain(train_and_report(sets["train_val"], sets["test"], cfg).report)
+    return plain(train_and_report(sets["train_val"], sets["test"], view.config()).report)
