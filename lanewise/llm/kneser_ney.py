@@ -9,6 +9,9 @@ and predecessors are sums over blocks. Words make the same trip with their sums.
 Scoring sends keys the same way to the same shards. A task lays the array of its shard into a temporary file, maps it into
 memory and answers by binary search; the answers meet their blocks, which lie in buckets and are not shuffled.
 
+Where a model scores the very blocks that it was counted in, `own_scores` makes one trip of both: a block sends all its
+bigrams with the counts of its training rows, and the shard that sums them up answers at once. No model is kept.
+
 The model: with discounts D1, D2, D3+ by the usual estimates from counts of counts,
     p(w | v) = (c(vw) - D) / c(v) + g(v) p(w),   p(w) = (N(. w) - D') / N(. .) + g' / (V + 1),
 where g takes up what the discounts leave. V + 1 counts a class for all unknown words; after an unseen word p(w | v) = p(w).
@@ -18,7 +21,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -55,10 +58,10 @@ class Blocks:
 
 @dataclass(frozen=True)
 class Model:
-    """Bigram and word shards, and what is summed over all of them."""
+    """Bigram and word shards, none in `own_scores`, and what is summed over all of them."""
 
-    bigrams: DataFrame
-    words: DataFrame
+    bigrams: DataFrame | None
+    words: DataFrame | None
     shard_bits: int
     key_bits: int
     train_tokens: int
@@ -119,6 +122,17 @@ def blocks(
     return Blocks(held, held.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0], key_bits)
 
 
+def with_training(held: Blocks, ids: DataFrame) -> Blocks:
+    """The blocks with the documents named in `ids` (one column, no repeated ids) as training rows, beside those they have.
+
+    Numbers of documents are joined, not texts. A document without an id is named by none.
+    """
+    wanted = ids.toDF("__learn_id")
+    places = held.rows.select("block", F.posexplode("ids").alias("at", "__id"))
+    found = places.join(wanted, F.col("__id") == F.col("__learn_id")).groupBy("block").agg(F.collect_list("at").alias("learn"))
+    return replace(held, rows=held.rows.join(stage(found, name="lm_training"), "block", "left"))
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(30))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
@@ -133,7 +147,10 @@ def _positions(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     before = np.empty_like(codes)
     before[1:] = codes[:-1]
     before[np.cumsum(lengths) - lengths] = START
-    return codes, before, lengths, np.frombuffer(row.train, dtype=np.uint8).astype(bool)
+    learned = np.frombuffer(row.train, dtype=np.uint8).astype(bool)
+    if getattr(row, "learn", None) is not None:
+        learned[np.asarray(row.learn, dtype=np.int64)] = True
+    return codes, before, lengths, learned
 
 
 def _pair_keys(words: np.ndarray, before: np.ndarray, codes: np.ndarray, drop: int) -> np.ndarray:
@@ -165,6 +182,32 @@ def _gathered(answers: DataFrame, name: str, *fields: str) -> DataFrame:
     return answers.groupBy("block").agg(F.collect_list(F.struct("shard", *fields)).alias(name))
 
 
+def _word_stats(n: int, codes: np.ndarray, before: np.ndarray, left: np.ndarray, right: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """STATS per word of a block, from its training tokens and the bigrams (left, right) that it stands for."""
+    stats = np.zeros((len(STATS), n), dtype=np.int64)
+    stats[0] = np.bincount(codes, minlength=n)
+    stats[1] = np.bincount(before, minlength=n)
+    for k in (1, 2, 3):
+        stats[1 + k] = np.bincount(left[told == k], minlength=n)
+    stats[5] = np.bincount(right[told > 0], minlength=n)
+    return stats
+
+
+def _words_seen(stats: np.ndarray) -> list[int]:
+    """Of a shard's words: tokens, words, those after 1, 2, 3 and 4 different words, and those after three or more."""
+    known = stats[0] > 0
+    return [int(stats[0].sum()), int(known.sum()), *(int((stats[5][known] == k).sum()) for k in (1, 2, 3, 4)), int((stats[5][known] > 2).sum())]
+
+
+def _added(parts: list[np.ndarray], n: int, place: np.ndarray) -> np.ndarray:
+    """The sums of the words' statistics in several blocks."""
+    values = np.concatenate(parts, axis=1).astype(np.int64)
+    stats = np.zeros((len(STATS), n), dtype=np.int64)
+    for i in range(len(STATS)):
+        np.add.at(stats[i], place, values[i])
+    return stats
+
+
 def train(held: Blocks) -> Model:
     """Count the training rows of the blocks. Without any, the model knows nothing and gives every token probability 1."""
     shard_bits, key_bits = held.shard_bits, held.key_bits
@@ -213,13 +256,7 @@ def train(held: Blocks) -> Model:
                     continue
                 _, first = np.unique(_pair_keys(words, before, codes, drop), return_index=True)
                 told = flat(_concatenated(row.answers, "told")).astype(np.int64)
-                n, left, right = len(words), before[first], codes[first]
-                stats = np.zeros((len(STATS), n), dtype=np.int64)
-                stats[0] = np.bincount(codes, minlength=n)
-                stats[1] = np.bincount(before, minlength=n)
-                for k in (1, 2, 3):
-                    stats[1 + k] = np.bincount(left[told == k], minlength=n)
-                stats[5] = np.bincount(right[told > 0], minlength=n)
+                stats = _word_stats(len(words), codes, before, before[first], codes[first], told)
                 keys = _word_keys(words, drop)
                 order = np.argsort(keys, kind="stable")
                 order = order[(stats[:2, order] > 0).any(axis=0)]
@@ -231,12 +268,8 @@ def train(held: Blocks) -> Model:
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         everything, place = np.unique(flat([unpack_sorted(x) for x in frame["keys"]]), return_inverse=True)
-        parts = np.concatenate([unpack(x).reshape(len(STATS), -1) for x in frame["stats"]], axis=1).astype(np.int64)
-        stats = np.zeros((len(STATS), len(everything)), dtype=np.int64)
-        for i in range(len(STATS)):
-            np.add.at(stats[i], place, parts[i])
-        known = stats[0] > 0
-        seen = [int(stats[0].sum()), int(known.sum()), *(int((stats[5][known] == k).sum()) for k in (1, 2, 3, 4)), int((stats[5][known] > 2).sum())]
+        stats = _added([unpack(x).reshape(len(STATS), -1) for x in frame["stats"]], len(everything), place)
+        seen = _words_seen(stats)
         return pd.DataFrame({"shard": frame["shard"].iloc[:1], "keys": [pack_sorted(everything)], "stats": [pack(stats.ravel())], "seen": [seen]})
 
     words = stage(sent.groupBy("shard").applyInPandas(add, "shard long, keys binary, stats binary, seen array<long>"), name="lm_words")
@@ -336,6 +369,37 @@ def _looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndar
     return place, keys[place] == asked
 
 
+SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _probabilities(model: Model):
+    """A function from a block's tokens, with the model's counts of its bigrams and statistics of its words, to rows of SCORES."""
+    tokens, size, types = model.train_tokens, model.vocabulary, max(model.bigram_types, 1)
+    d, e, lower = np.array([0, *model.discounts]), np.array([0, *model.lower_discounts]), model.lower_counts
+    rest = (sum(x * n for x, n in zip(model.lower_discounts, lower)) / model.bigram_types) if model.bigram_types else 1.0
+
+    def found(ids, codes: np.ndarray, before: np.ndarray, lengths: np.ndarray, count: np.ndarray, stats: np.ndarray) -> pd.DataFrame:
+        seen = stats[0]
+        base = np.log10((seen + 0.1) / (tokens + 0.1 * (size + 1)))
+        alone = rest / (size + 1) + (stats[5] - e[np.minimum(stats[5], 3)]) / types
+        context = np.maximum(stats[1], 1)
+        back = np.where(stats[1] > 0, (d[1] * stats[2] + d[2] * stats[3] + d[3] * stats[4]) / context, 1.0)
+        p = np.where(stats[1][before] > 0, (count - d[np.minimum(count, 3)]) / context[before], 0.0) + back[before] * alone[codes]
+        starts = np.cumsum(lengths) - lengths
+        add = lambda values: np.add.reduceat(values, starts)
+        return pd.DataFrame(
+            {
+                "doc_id": pd.array([None if x is None or x != x else int(x) for x in ids], dtype="Int64"),
+                "n_tokens": lengths,
+                "n_known": add((seen[codes] > 0).astype(np.int64)),
+                "base_score": add(base[codes]),
+                "score": add(np.log10(p)),
+            }
+        )
+
+    return found
+
+
 def scores(held: Blocks, model: Model, known_keys: KeyFilter | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) per row: log10 probabilities of the text with its end.
 
@@ -386,9 +450,7 @@ def scores(held: Blocks, model: Model, known_keys: KeyFilter | None = None) -> D
     answers = answers.applyInPandas(answer, "shard long, block long, kind int, counts binary")
     gathered = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "kind", "counts")).alias("answers"))
 
-    tokens, size, types = model.train_tokens, model.vocabulary, max(model.bigram_types, 1)
-    d, e, lower = np.array([0, *model.discounts]), np.array([0, *model.lower_discounts]), model.lower_counts
-    rest = (sum(x * n for x, n in zip(model.lower_discounts, lower)) / model.bigram_types) if model.bigram_types else 1.0
+    probabilities = _probabilities(model)
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -402,23 +464,96 @@ def scores(held: Blocks, model: Model, known_keys: KeyFilter | None = None) -> D
                 stats = np.zeros((len(STATS), len(single)), dtype=np.int64)
                 if len(order):
                     stats[:, order] = np.concatenate([x.reshape(len(STATS), -1) for x in _concatenated(kinds[1], "counts")], axis=1).astype(np.int64)
-                seen = stats[0]
-                base = np.log10((seen + 0.1) / (tokens + 0.1 * (size + 1)))
-                alone = rest / (size + 1) + (stats[5] - e[np.minimum(stats[5], 3)]) / types
-                context = np.maximum(stats[1], 1)
-                back = np.where(stats[1] > 0, (d[1] * stats[2] + d[2] * stats[3] + d[3] * stats[4]) / context, 1.0)
-                p = np.where(stats[1][before] > 0, (count - d[np.minimum(count, 3)]) / context[before], 0.0) + back[before] * alone[codes]
-                starts = np.cumsum(lengths) - lengths
-                add = lambda values: np.add.reduceat(values, starts)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array([None if x is None or x != x else int(x) for x in row.ids], dtype="Int64"),
-                        "n_tokens": lengths,
-                        "n_known": add((seen[codes] > 0).astype(np.int64)),
-                        "base_score": add(base[codes]),
-                        "score": add(np.log10(p)),
-                    }
-                )
+                yield probabilities(row.ids, codes, before, lengths, count, stats)
 
     rows = held.rows.join(gathered, "block", "left")
-    return rows.mapInPandas(finish, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return rows.mapInPandas(finish, SCORES)
+
+
+def own_scores(held: Blocks) -> DataFrame:
+    """The rows of `scores` by a model of the blocks' own training rows: the same as `scores(held, train(held))`.
+
+    Bigrams go to their shards once, each with its count in the block's training rows, zero for the others; the shard sums
+    them up, tells who stands for which bigram as `train` does, and answers with the sums. Words follow likewise. What
+    travels and is written is in proportion to the blocks' distinct bigrams, whatever part of the rows trains.
+    """
+    shard_bits, key_bits, buckets = held.shard_bits, held.key_bits, partitions(held.rows.sparkSession)
+    drop = 64 - shard_bits - key_bits
+
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples():
+                codes, before, lengths, learned = _positions(row)
+                keys, place = np.unique(_pair_keys(np.frombuffer(row.words, dtype="<u8"), before, codes, drop), return_inverse=True)
+                counts = np.bincount(place[np.repeat(learned, lengths)], minlength=len(keys))
+                yield _by_shard(row.block, keys, {"counts": counts}, key_bits)
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("block")
+        parts = [unpack_sorted(x) for x in frame["keys"]]
+        everything, place = np.unique(flat(parts), return_inverse=True)
+        counts = flat([unpack(x) for x in frame["counts"]]).astype(np.int64)
+        totals = np.zeros(len(everything), dtype=np.int64)
+        np.add.at(totals, place, counts)
+        learned = np.flatnonzero(counts)
+        stands = learned[np.unique(place[learned], return_index=True)[1]]  # the first block that trains with a bigram
+        told = np.zeros(len(place), dtype=np.int64)
+        told[stands] = np.minimum(totals[place[stands]], 3)
+        cuts, shard = np.cumsum([len(x) for x in parts])[:-1], int(frame["shard"].iloc[0])
+        seen = [int((totals > 0).sum()), *(int((totals == k).sum()) for k in (1, 2, 3, 4))]
+        rows = [(shard, None, None, None, seen)]
+        rows += [(shard, block, pack(x), pack(y), None) for block, x, y in zip(frame["block"], np.split(told, cuts), np.split(totals[place], cuts))]
+        return pd.DataFrame(rows, columns=["shard", "block", "told", "counts", "seen"]).astype({"block": "Int64"})
+
+    sent = held.rows.mapInPandas(pairs, "shard long, block long, keys binary, counts binary")
+    answers = sent.groupBy("shard").applyInPandas(merge, "shard long, block long, told binary, counts binary, seen array<long>")
+    bigrams = stage_bucketed(_gathered(answers, "answers", "told", "counts", "seen"), "block", buckets, "lm_own_bigrams")
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples():
+                codes, before, lengths, learned = _positions(row)
+                chosen, words = np.repeat(learned, lengths), np.frombuffer(row.words, dtype="<u8")
+                _, first = np.unique(_pair_keys(words, before, codes, drop), return_index=True)
+                told = flat(_concatenated(row.answers, "told")).astype(np.int64)
+                stats = _word_stats(len(words), codes[chosen], before[chosen], before[first], codes[first], told)
+                keys = _word_keys(words, drop)
+                order = np.argsort(keys, kind="stable")
+                yield _by_shard(row.block, keys[order], {"stats": stats[:, order]}, key_bits)
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack_sorted(x) for x in frame["keys"]]
+        everything, place = np.unique(flat(parts), return_inverse=True)
+        stats = _added([unpack(x).reshape(len(STATS), -1) for x in frame["stats"]], len(everything), place)
+        shard, cuts = int(frame["shard"].iloc[0]), np.cumsum([len(x) for x in parts])[:-1]
+        rows = [(shard, None, None, _words_seen(stats))]
+        rows += [(shard, block, pack(stats[:, x].ravel()), None) for block, x in zip(frame["block"], np.split(place, cuts))]
+        return pd.DataFrame(rows, columns=["shard", "block", "stats", "seen"]).astype({"block": "Int64"})
+
+    sent = held.rows.join(bigrams, "block", "left").mapInPandas(sums, "shard long, block long, keys binary, stats binary")
+    answers = sent.groupBy("shard").applyInPandas(add, "shard long, block long, stats binary, seen array<long>")
+    words = stage_bucketed(_gathered(answers, "known", "stats", "seen"), "block", buckets, "lm_own_words")
+
+    def total(df: DataFrame, column: str, n: int) -> list[int]:
+        seen = df.where("block IS NULL").select(F.explode(f"{column}.seen").alias("seen"))
+        return [x or 0 for x in seen.agg(*(F.sum(F.col("seen")[i]) for i in range(n))).first()]
+
+    types, *counts = total(bigrams, "answers", 5)
+    tokens, vocabulary, one, two, three, four, more = total(words, "known", 7)
+    model = Model(None, None, shard_bits, key_bits, tokens, vocabulary, types, _discounts(counts), _discounts([one, two, three, four]), (one, two, more))
+    probabilities = _probabilities(model)
+
+    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples():
+                codes, before, lengths, _ = _positions(row)
+                words = np.frombuffer(row.words, dtype="<u8")
+                _, place = np.unique(_pair_keys(words, before, codes, drop), return_inverse=True)
+                count = flat(_concatenated(row.answers, "counts")).astype(np.int64)[place]
+                stats = np.zeros((len(STATS), len(words)), dtype=np.int64)
+                order = np.argsort(_word_keys(words, drop), kind="stable")
+                stats[:, order] = np.concatenate([x.reshape(len(STATS), -1) for x in _concatenated(row.known, "stats")], axis=1)
+                yield probabilities(row.ids, codes, before, lengths, count, stats)
+
+    told = bigrams.withColumn("answers", F.transform("answers", lambda x: F.struct(x["shard"].alias("shard"), x["counts"].alias("counts"))))
+    return held.rows.join(told, "block", "left").join(words, "block", "left").mapInPandas(finish, SCORES)

@@ -102,3 +102,23 @@ def test_filtered_scores_equal_all_lookups(spark):
     held = kneser_ney.blocks(docs, None, 500)
     plain, filtered = (sorted(tuple(r) for r in kneser_ney.scores(held, model, keys).collect()) for keys in (None, kneser_ney.key_filter(model)))
     assert plain == filtered and len(plain) == 61
+
+
+def test_every_trusted_row_trains_or_calibrates(spark):
+    """A word that stands in one row alone is more likely there if the model learned from that row."""
+    n = 40_000
+    docs = spark.range(0, n, 1, 4).selectExpr("id AS doc_id", "concat('a w', id, ' b') AS text", "'en' AS lang")
+    found = quality_model.classify(docs, docs.select("doc_id")).select("log_perplexity").toPandas()["log_perplexity"]
+    learned = int((found < found.min() + 0.01).sum())
+    assert abs(learned - 0.7 * n) < 0.01 * n
+
+
+def test_own_scores_equal_those_of_a_trained_model(spark):
+    rng = np.random.default_rng(10)
+    docs = spark.createDataFrame([(i if i % 7 else None, " ".join(f"w{x}" for x in rng.integers(0, 40 + 40 * (i % 3), 25))) for i in range(60)] + [(99, None)], "doc_id long, text string")
+    flagged = kneser_ney.blocks(docs, F.col("doc_id") % 3 == 0, 500)
+    plain = sorted(map(repr, kneser_ney.scores(flagged, kneser_ney.train(flagged)).collect()))
+    assert sorted(map(repr, kneser_ney.own_scores(flagged).collect())) == plain
+    ids = docs.where("doc_id % 3 = 0").select("doc_id").distinct()
+    joined = kneser_ney.with_training(kneser_ney.blocks(docs, None, 500), ids)
+    assert sorted(map(repr, kneser_ney.own_scores(joined).collect())) == plain
