@@ -84,7 +84,7 @@ class WordIds:
     def __init__(self, path: str):
         import regex
 
-        self.tokenizer, self.known, self.old, self.find = _vocabulary(path), {}, {}, None
+        self.tokenizer, self.known, self.old, self.pieces, self.find = _vocabulary(path), {}, {}, {}, None
         steps = json.loads(self.tokenizer.to_str())
         self.added = [x["content"].lower() for x in steps["added_tokens"] or []]
         normal = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])]
@@ -93,18 +93,26 @@ class WordIds:
             self.find = regex.compile(cuts[0]["pattern"]["Regex"]).findall
 
     def _learn(self, words: list[bytes]) -> None:
-        rest, tokenize = [], self.tokenizer.model.tokenize
+        """Pieces of printable ASCII words are remembered too: new words are mostly known ones with other signs around them."""
+        rest, tokenize, pieces = [], self.tokenizer.model.tokenize, self.pieces
         for word in words:
             text = word.decode()
             lower = text.lower()
             if self.find is not None and text.isascii() and text.isprintable() and not any(x in lower for x in self.added):
-                ids = [token.id for piece in self.find(lower) for token in tokenize(piece)]
-                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+                cut = self.find(lower)
+                for piece in cut:
+                    if piece not in pieces:
+                        ids = [token.id for token in tokenize(piece)]
+                        pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+                self.known[word] = pieces[cut[0]] if len(cut) == 1 else b"".join([pieces[x] for x in cut])
             else:
                 rest.append((word, text))
         found = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
         for (word, _), x in zip(rest, found):
-            self.known[word] = struct.pack(f"<{len(x.ids)}I", *x.ids)
+            ids = x.ids
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        if len(pieces) > CACHE_WORDS // 2:
+            pieces.clear()
 
     def __call__(self, text: str) -> bytes:
         words = text.encode().split()

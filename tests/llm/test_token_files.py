@@ -42,3 +42,20 @@ def test_files_with_markers(spark):
         ids = [*library.encode(text, add_special_tokens=False).ids, 1]
         assert (rows[i].start, rows[i].n_tokens, rows[i].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
         at += len(ids)
+
+
+def test_pieces_are_tokenized_once(monkeypatch):
+    """New words of known pieces cost no call of the model; the ids are those of the tokenizer."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, calls = token_files.WordIds(path), []
+    tokenizer = words.tokenizer
+
+    class Counting:
+        model = type("Model", (), {"tokenize": staticmethod(lambda piece: calls.append(piece) or tokenizer.model.tokenize(piece))})()
+        encode_batch_fast = staticmethod(tokenizer.encode_batch_fast)
+
+    words.tokenizer = Counting()
+    texts = ["shipping, costs.", "(shipping costs)", "SHIPPING; costs!", "costs, shipping. caf\u00e9"]
+    for text in texts:
+        assert list(np.frombuffer(words(text), dtype="<u4")) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert calls.count("shipping") == calls.count("costs") == 1
