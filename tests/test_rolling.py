@@ -153,3 +153,11 @@ def test_known_by_needs_sums_and_a_date(spark):
     with pytest.raises(TypeError, match="k must be a date"):
         trailing_stats(df, ["v"], [[]], [(-1, -1)], "d", known_by="k")
     assert trailing_stats(df.limit(0), ["v"], [[]], [(-1, -1)], "d", known_by="d").count() == 0
+
+
+def test_statistics_of_all_rows_added_to_some(spark):
+    days = spark.range(0, 200, 1, 4).selectExpr("id", "date_add(date'2020-01-01', cast(id % 20 as int)) AS day", "id % 3 AS g", "id % 7 AS v")
+    some = days.where("id % 5 = 0").withColumn("more", F.lit(1))
+    whole = trailing_stats(days, ["v"], [["g"]], [(-5, -1)], "day")
+    found = trailing_stats(days, ["v"], [["g"]], [(-5, -1)], "day", to=some)
+    assert rows(found.drop("more")) == rows(whole.where("id % 5 = 0")) and found.count() == 40

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from lanewise.operators import by_date, count_over, first_per_key, join_groups, lookup, trailing_stats, value_domains
 from lanewise.operators.joins import _copies, hot_keys
 from lanewise.sources import stage
+from shipment_checks import view
+from shipment_checks.catalog import QUERIES
 from tests.conftest import SF_DIR
 from tests.helpers import count_of, final_plan, plan, rows
 
@@ -130,3 +132,17 @@ def test_joined_groups_match_null_keys(spark):
     df = spark.createDataFrame([(None, 1), ("a", None), (None, None)], "g string, h int")
     groups = df.withColumn("x", F.lit(1)).groupBy("g", "h").agg(F.sum("x").alias("x"))
     assert len(rows(join_groups(df, groups, ["g", "h"]).filter("x = 1"))) == 3
+
+
+def test_lines_lie_by_product_before_the_lookup(spark, conf):
+    """The part is joined by the text of its key, so the lookup of product flags shuffles its own side only."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    tables = view.tables(spark, SF_DIR, (view.shipment_lines, view.product_flags))
+    lines = tables["shipment_lines"]
+    text = plan(lookup(lines, tables["product_flags"], {"PRODUCT_KEY": "product_key"}, ["PRODUCT_SHIPPABLE_UOM"]))
+    assert count_of(text, r"Exchange hashpartitioning\(PRODUCT_KEY") == 0
+    assert count_of(plan(lines), r"Exchange hashpartitioning\(.*(l_orderkey|l_partkey)") == 2  # the items: by order and by part
+
+
+def test_single_split_trains_on_a_staged_table(spark):
+    assert count_of(plan(QUERIES["single_split_predictions"](spark, SF_DIR)), "Join") == 0
