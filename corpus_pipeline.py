@@ -35,9 +35,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
 
+#: Characters of a block of documents in `tokens`. Its tasks hold the ids too, beside what earlier stages left in memory, so blocks
+#: are smaller than the operator's own; more entries of words are shuffled, and the rows are the same.
+TOKEN_BLOCK_CHARS = 4_000_000
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the token ids, and the digests of ids and of the bytes they decode to."""
-    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, TOKEN_BLOCK_CHARS, with_ids=True)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("private", private), ("mix", mix), ("tokens", tokens)]

@@ -238,14 +238,16 @@ def digests(
                 yield pd.DataFrame({"block": block, "id": ids.astype(np.int64)})
 
     asked = answers.mapInPandas(distinct, "block long, id long")
-    known = asked.join(token_table(spark, ranks), "id").groupBy("block").agg(F.collect_list(F.struct("id", "bytes")).alias("known"))
+    # A token reaches its block as one string, its id's four bytes before its own: a struct would be a dictionary in Python.
+    entry = F.concat(F.unhex(F.lpad(F.hex("id"), 8, "0")), F.col("bytes"))
+    known = asked.join(token_table(spark, ranks), "id").groupBy("block").agg(F.collect_list(entry).alias("known"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
                 table = row.known if row.known is not None else []
-                keys = np.array([x["id"] for x in table], dtype=np.int64)
-                of = [bytes(x["bytes"]) for x in table]
+                keys = np.frombuffer(b"".join(x[:4] for x in table), dtype=">u4").astype(np.int64)
+                of = [bytes(x[4:]) for x in table]
                 place = np.full(int(keys.max()) + 1 if len(keys) else 0, len(of), dtype=np.int64)
                 place[keys] = np.arange(len(keys))
                 for chunk in _chunks(_documents(row, shards)):

@@ -57,3 +57,13 @@ def test_only_rows_of_repeated_ids_are_fingerprinted_twice(spark):
     assert "Python" not in plan(out) and out.count() == 20
     again = simhash.keep_one(docs.unionByName(docs.limit(4)))
     assert again.count() == 20
+
+
+def test_tokens_take_smaller_blocks(monkeypatch):
+    """Beside the ids and what earlier stages left in memory, a task holds blocks a third as large as the operator's own."""
+    from lanewise.llm import bpe
+
+    seen = []
+    monkeypatch.setattr(bpe, "digests", lambda docs, path, pattern, max_chars, with_ids: seen.append((max_chars, with_ids)))
+    corpus_pipeline.tokens(None, None, "")
+    assert seen == [(bpe.BLOCK_CHARS // 3, True)]
