@@ -10,24 +10,36 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewise.llm.common import partitions, texts
+from lanewise.llm.common import as_blocks, partitions, texts
+from lanewise.llm.packing import ranges
 from lanewise.sources import stage
 
 #: Ids after which a segment ends; a longer document is a segment of its own.
 SEGMENT_IDS = 1_000_000
 #: Words whose ids a Python worker remembers, from one task to the next.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: Characters of the texts that are encoded together; a longer text is by itself.
+TURN_CHARS = 4_000_000
 WORD_BITS = 64
+#: Words of signs, digits and Latin letters that are composed already and whose lower case is one character.
+_PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]*").fullmatch
+#: How byte-level tokenizers write the bytes that are no printable Latin-1 character.
+_HIDDEN = [x for x in range(256) if not (0x21 <= x <= 0x7E or 0xA1 <= x <= 0xAC or 0xAE <= x)]
+_SHOWN = {x: 256 + i for i, x in enumerate(_HIDDEN)}
 
 
 def _bits(mask: np.ndarray) -> bytes:
@@ -36,10 +48,10 @@ def _bits(mask: np.ndarray) -> bytes:
 
 def encode_levels(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
     """(chunks, bitmaps, directories) per level."""
-    chunks, bitmaps, directories, rest = [], [], [], ids.astype(np.uint64)
+    chunks, bitmaps, directories, rest = [], [], [], ids if ids.dtype == np.uint32 else ids.astype(np.uint64)
     while len(rest):
-        chunks.append((rest & np.uint64(255)).astype(np.uint8).tobytes())
-        rest = rest >> np.uint64(8)
+        chunks.append(rest.astype(np.uint8).tobytes())  # the lowest eight bits
+        rest = rest >> 8
         more = rest > 0
         bitmaps.append(_bits(more))
         ones = np.bitwise_count(np.frombuffer(bitmaps[-1], dtype="<u8")).astype(np.uint32)
@@ -75,10 +87,10 @@ def _vocabulary(path: str):
 class WordIds:
     """Ids of texts by the ids of their space-separated parts, remembered within bounds.
 
-    Exact for tokenizers that drop white space before they cut words, as no token then spans a space. Printable ASCII
-    words of a tokenizer that only lowers case and splits by a pattern go straight to its model; for those the other
-    steps change nothing. All other words, and words that hold the text of an added token such as <|endoftext|>, take
-    the tokenizer's whole way, which gives the added token's id.
+    Exact for tokenizers that drop white space before they cut words, as no token then spans a space. Words of printable
+    ASCII and Latin letters, for a tokenizer that only composes, lowers case and splits by a pattern, go straight to its
+    model; for those the other steps change nothing. All other words, and words that hold the text of an added token such
+    as <|endoftext|>, take the tokenizer's whole way, which gives the added token's id.
     """
 
     def __init__(self, path: str):
@@ -86,44 +98,59 @@ class WordIds:
 
         self.tokenizer, self.known, self.old, self.pieces, self.find = _vocabulary(path), {}, {}, {}, None
         steps = json.loads(self.tokenizer.to_str())
-        self.added = [x["content"].lower() for x in steps["added_tokens"] or []]
+        added = [re.escape(x["content"].lower()) for x in steps["added_tokens"] or []]
+        self.marked = re.compile("|".join(added) if added else "(?!)").search
         normal = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])]
         cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
         if normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and "Regex" in cuts[0]["pattern"]:
             self.find = regex.compile(cuts[0]["pattern"]["Regex"]).findall
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Pieces of printable ASCII words are remembered too: new words are mostly known ones with other signs around them."""
-        rest, tokenize, pieces = [], self.tokenizer.model.tokenize, self.pieces
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SHOWN)
+        ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, words: list[str]) -> None:
+        """Pieces of plain words are remembered too: new words are mostly known ones with other signs around them."""
+        rest, pieces, find, marked = [], self.pieces, self.find, self.marked
         for word in words:
-            text = word.decode()
-            lower = text.lower()
-            if self.find is not None and text.isascii() and text.isprintable() and not any(x in lower for x in self.added):
-                cut = self.find(lower)
+            lower = word.lower()
+            if find is not None and _PLAIN(word) and not marked(lower):
+                cut = [lower] if lower.isalpha() else find(lower)
                 for piece in cut:
                     if piece not in pieces:
-                        ids = [token.id for token in tokenize(piece)]
-                        pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+                        pieces[piece] = self._piece(piece)
                 self.known[word] = pieces[cut[0]] if len(cut) == 1 else b"".join([pieces[x] for x in cut])
             else:
-                rest.append((word, text))
-        found = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
-        for (word, _), x in zip(rest, found):
+                rest.append(word)
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        for word, x in zip(rest, found):
             ids = x.ids
             self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
         if len(pieces) > CACHE_WORDS // 2:
             pieces.clear()
 
-    def __call__(self, text: str) -> bytes:
-        words = text.encode().split()
-        new = set(words).difference(self.known)
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Words are told apart in Arrow, so each is looked up once in all the texts."""
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = parts.flatten().dictionary_encode()
+        codes, words = words.indices.to_numpy(), words.dictionary.to_pylist()
+        new = [word for word in words if word not in self.known]
         if new:
             if len(self.known) + len(new) > CACHE_WORDS // 2:  # words not met since the last turn are forgotten
-                self.old, self.known, new = self.known, {}, set(words)
+                self.old, self.known, new = self.known, {}, words
             again = [word for word in new if word in self.old]
             self.known.update((word, self.old[word]) for word in again)
-            self._learn(list(new.difference(again)))
-        return b"".join(map(self.known.__getitem__, words))
+            self._learn([word for word in new if word not in self.known])
+        ids = [self.known[word] for word in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ids = np.frombuffer(b"".join(ids), dtype="<u4")
+        data = ids[ranges((np.cumsum(sizes) - sizes)[codes], sizes[codes])].tobytes()
+        ends = 4 * np.concatenate([[0], np.cumsum(sizes[codes])])[parts.offsets.to_numpy()]
+        return [data[a:b] for a, b in pairwise(ends.tolist())]
+
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -154,23 +181,26 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 1, segment_ids: int =
 
         from lanewise.llm.token_files import worker_words
 
-        part, encode, end = TaskContext.get().partitionId(), worker_words(path), np.array([end_id], dtype="<u4").tobytes()
+        part, words, end = TaskContext.get().partitionId(), worker_words(path), np.array([end_id], dtype="<u4").tobytes()
         number, before, held, bodies, size = 0, 0, [], [], 0
 
+        def encoded(frames):
+            for _, doc_ids, some in as_blocks(frames, TURN_CHARS):
+                yield from zip(doc_ids, words.many(some))
+
         def segment():
             chunks, bitmaps, directories = encode_levels(np.frombuffer(b"".join(bodies), dtype="<u4"))
             row = (part, number, before, [x for x, _ in held], [n for _, n in held], chunks, bitmaps, directories)
             return pd.DataFrame([row], columns=[x.split()[0] for x in _FILE.split(", ")])
 
-        for frame in frames:
-            for doc_id, text in zip(frame["doc_id"].astype("Int64").array, frame["text"]):
-                body = encode(text) + end
-                if held and size + len(body) // 4 > segment_ids:
-                    yield segment()
-                    number, before, held, bodies, size = number + 1, before + size, [], [], 0
-                held.append((None if doc_id is pd.NA else int(doc_id), len(body) // 4))
-                bodies.append(body)
-                size += len(body) // 4
+        for doc_id, ids in encoded(frames):
+            body = ids + end
+            if held and size + len(body) // 4 > segment_ids:
+                yield segment()
+                number, before, held, bodies, size = number + 1, before + size, [], [], 0
+            held.append((doc_id, len(body) // 4))
+            bodies.append(body)
+            size += len(body) // 4
         if held:
             yield segment()
 

@@ -59,3 +59,22 @@ def test_pieces_are_tokenized_once(monkeypatch):
     for text in texts:
         assert list(np.frombuffer(words(text), dtype="<u4")) == tokenizer.encode(text, add_special_tokens=False).ids
     assert calls.count("shipping") == calls.count("costs") == 1
+
+
+def test_plain_latin_words_go_straight_to_the_model():
+    """No word of signs, digits and Latin letters costs the tokenizer's whole way; the ids are the tokenizer's all the same."""
+    words, whole = token_files.WordIds(PATH), []
+    tokenizer = words.tokenizer
+
+    class Counting:
+        model = tokenizer.model
+        encode_batch_fast = staticmethod(lambda texts, **kwargs: whole.extend(texts) or tokenizer.encode_batch_fast(texts, **kwargs))
+
+    words.tokenizer = Counting()
+    plain = [x for x in [*range(0x21, 0x7F), *range(0xA1, 0x180)] if x not in (0xAD, 0x130)]
+    texts = ["Stra\u00dfe, \u00d1and\u00fa's (caf\u00e9)", *[f"{chr(x)} a{chr(x)}b {chr(x)}'s" for x in plain], "", " \t\x0b\x0c\n", "\u00b2x\u00bd7\u00aa"]
+    assert [list(np.frombuffer(x, dtype="<u4")) for x in words.many(texts)] == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert whole == []
+    odd = ["\u0130x", "a\u00adb", "e\u0301a", "a\u00a0b", "a\x1cb", "a\u0085b", "\u03a3\u03a3 \u4e2d", "\u1e9e"]
+    assert [list(np.frombuffer(x, dtype="<u4")) for x in words.many(odd)] == [tokenizer.encode(x, add_special_tokens=False).ids for x in odd]
+    assert len(whole) == 9
