@@ -13,10 +13,14 @@ from lanewise.llm.common import table
 from lanewise.llm.queries import trusted
 from lanewise.sources import stage
 
+#: Characters of a block of documents in `quality`. Its tasks run beside what other stages left in the executors' memory, so blocks
+#: are smaller than the operator's own; more entries of words and bigrams are shuffled, and the rows are the same.
+QUALITY_BLOCK_CHARS = 2_000_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the perplexity classifier rejects go; so do empty ones, which it cannot judge."""
-    return quality_model.keep_good(docs, trusted(spark, sf_dir))
+    return quality_model.keep_good(docs, trusted(spark, sf_dir), max_chars=QUALITY_BLOCK_CHARS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

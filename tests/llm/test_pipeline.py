@@ -67,3 +67,18 @@ def test_tokens_take_smaller_blocks(monkeypatch):
     monkeypatch.setattr(bpe, "digests", lambda docs, path, pattern, max_chars, with_ids: seen.append((max_chars, with_ids)))
     corpus_pipeline.tokens(None, None, "")
     assert seen == [(bpe.BLOCK_CHARS // 3, True)]
+
+
+def test_quality_takes_smaller_blocks(monkeypatch, spark):
+    """Beside what earlier stages left in memory, a task holds blocks a quarter as large as the operator's own; the rows are the same."""
+    from lanewise.llm import kneser_ney, quality_model
+    from lanewise.llm.common import BLOCK_CHARS
+    from lanewise.llm.queries import trusted
+
+    docs, seen, blocks = table(spark, SF_DIR, "documents"), [], kneser_ney.blocks
+    monkeypatch.setattr(kneser_ney, "blocks", lambda rows, train, max_chars, *rest: seen.append(max_chars) or blocks(rows, train, 20_000, *rest))
+    kept = corpus_pipeline.quality(spark, docs, SF_DIR)
+    assert seen == [BLOCK_CHARS // 4]
+    monkeypatch.undo()
+    whole = quality_model.keep_good(docs, trusted(spark, SF_DIR))
+    assert kept.exceptAll(whole).isEmpty() and whole.exceptAll(kept).isEmpty()
