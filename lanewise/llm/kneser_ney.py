@@ -10,7 +10,8 @@ Scoring sends keys the same way to the same shards. A task lays the array of its
 memory and answers by binary search; the answers meet their blocks, which lie in buckets and are not shuffled.
 
 Where a model scores the very blocks that it was counted in, `own_scores` makes one trip of both: a block sends all its
-bigrams with the counts of its training rows, and the shard that sums them up answers at once. No model is kept.
+bigrams with the counts of its training rows, and the shard that sums them up answers at once. No model is kept. The shards
+take turns, so that only the keys of some of them lie in a shuffle at a time.
 
 The model: with discounts D1, D2, D3+ by the usual estimates from counts of counts,
     p(w | v) = (c(vw) - D) / c(v) + g(v) p(w),   p(w) = (N(. w) - D') / N(. .) + g' / (V + 1),
@@ -22,6 +23,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,9 @@ SHARD_KEYS = 2_000_000
 KEY_BITS = 40
 #: Keys of a model up to which a filter of them goes to every task: at most four bytes a key.
 FILTER_KEYS = 8_000_000
+#: Turns that the shards of bigrams take in `own_scores`, half of them for words, and tokens from which there is one turn more.
+TURNS = 4
+TURN_TOKENS = 4_000_000
 STATS = ("tokens", "contexts", "ones", "twos", "more", "before")
 
 
@@ -475,18 +480,27 @@ def own_scores(held: Blocks) -> DataFrame:
 
     Bigrams go to their shards once, each with its count in the block's training rows, zero for the others; the shard sums
     them up, tells who stands for which bigram as `train` does, and answers with the sums. Words follow likewise. What
-    travels and is written is in proportion to the blocks' distinct bigrams, whatever part of the rows trains.
+    travels and is written is in proportion to the blocks' distinct bigrams, whatever part of the rows trains. Shards take
+    turns: keys of one turn are gone when the next begins, if finished shuffles are removed (`shuffles_removed`).
     """
     shard_bits, key_bits, buckets = held.shard_bits, held.key_bits, partitions(held.rows.sparkSession)
     drop = 64 - shard_bits - key_bits
+    turns = min(TURNS, 1 + held.tokens // TURN_TOKENS)
+    word_turns = max(1, turns // 2)
 
-    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def due(keys: np.ndarray, turn: int, of: int) -> np.ndarray:
+        return (keys >> np.uint64(key_bits)) % np.uint64(of) == np.uint64(turn)
+
+    def pairs(frames: Iterator[pd.DataFrame], turn: int) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
                 codes, before, lengths, learned = _positions(row)
-                keys, place = np.unique(_pair_keys(np.frombuffer(row.words, dtype="<u8"), before, codes, drop), return_inverse=True)
-                counts = np.bincount(place[np.repeat(learned, lengths)], minlength=len(keys))
-                yield _by_shard(row.block, keys, {"counts": counts}, key_bits)
+                keys = _pair_keys(np.frombuffer(row.words, dtype="<u8"), before, codes, drop)
+                mine = due(keys, turn, turns)
+                keys, place = np.unique(keys[mine], return_inverse=True)
+                counts = np.bincount(place[np.repeat(learned, lengths)[mine]], minlength=len(keys))
+                if len(keys):
+                    yield _by_shard(row.block, keys, {"counts": counts}, key_bits)
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
@@ -505,11 +519,13 @@ def own_scores(held: Blocks) -> DataFrame:
         rows += [(shard, block, pack(x), pack(y), None) for block, x, y in zip(frame["block"], np.split(told, cuts), np.split(totals[place], cuts))]
         return pd.DataFrame(rows, columns=["shard", "block", "told", "counts", "seen"]).astype({"block": "Int64"})
 
-    sent = held.rows.mapInPandas(pairs, "shard long, block long, keys binary, counts binary")
-    answers = sent.groupBy("shard").applyInPandas(merge, "shard long, block long, told binary, counts binary, seen array<long>")
-    bigrams = stage_bucketed(_gathered(answers, "answers", "told", "counts", "seen"), "block", buckets, "lm_own_bigrams")
+    bigrams = []
+    for turn in range(turns):
+        sent = held.rows.drop("ids").mapInPandas(partial(pairs, turn=turn), "shard long, block long, keys binary, counts binary")
+        answers = sent.groupBy("shard").applyInPandas(merge, "shard long, block long, told binary, counts binary, seen array<long>")
+        bigrams.append(stage_bucketed(_gathered(answers, "answers", "told", "counts", "seen"), "block", buckets, "lm_own_bigrams"))
 
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(frames: Iterator[pd.DataFrame], turn: int) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
                 codes, before, lengths, learned = _positions(row)
@@ -519,7 +535,9 @@ def own_scores(held: Blocks) -> DataFrame:
                 stats = _word_stats(len(words), codes[chosen], before[chosen], before[first], codes[first], told)
                 keys = _word_keys(words, drop)
                 order = np.argsort(keys, kind="stable")
-                yield _by_shard(row.block, keys[order], {"stats": stats[:, order]}, key_bits)
+                order = order[due(keys[order], turn, word_turns)]
+                if len(order):
+                    yield _by_shard(row.block, keys[order], {"stats": stats[:, order]}, key_bits)
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack_sorted(x) for x in frame["keys"]]
@@ -530,12 +548,15 @@ def own_scores(held: Blocks) -> DataFrame:
         rows += [(shard, block, pack(stats[:, x].ravel()), None) for block, x in zip(frame["block"], np.split(place, cuts))]
         return pd.DataFrame(rows, columns=["shard", "block", "stats", "seen"]).astype({"block": "Int64"})
 
-    sent = held.rows.join(bigrams, "block", "left").mapInPandas(sums, "shard long, block long, keys binary, stats binary")
-    answers = sent.groupBy("shard").applyInPandas(add, "shard long, block long, stats binary, seen array<long>")
-    words = stage_bucketed(_gathered(answers, "known", "stats", "seen"), "block", buckets, "lm_own_words")
+    told = held.rows.drop("ids").join(_from_turns(held.rows, bigrams, "answers", "shard", "told"), "block", "left")
+    words = []
+    for turn in range(word_turns):
+        sent = told.mapInPandas(partial(sums, turn=turn), "shard long, block long, keys binary, stats binary")
+        answers = sent.groupBy("shard").applyInPandas(add, "shard long, block long, stats binary, seen array<long>")
+        words.append(stage_bucketed(_gathered(answers, "known", "stats", "seen"), "block", buckets, "lm_own_words"))
 
-    def total(df: DataFrame, column: str, n: int) -> list[int]:
-        seen = df.where("block IS NULL").select(F.explode(f"{column}.seen").alias("seen"))
+    def total(parts: list[DataFrame], column: str, n: int) -> list[int]:
+        seen = reduce(DataFrame.unionByName, [df.where("block IS NULL").select(F.explode(f"{column}.seen").alias("seen")) for df in parts])
         return [x or 0 for x in seen.agg(*(F.sum(F.col("seen")[i]) for i in range(n))).first()]
 
     types, *counts = total(bigrams, "answers", 5)
@@ -555,5 +576,18 @@ def own_scores(held: Blocks) -> DataFrame:
                 stats[:, order] = np.concatenate([x.reshape(len(STATS), -1) for x in _concatenated(row.known, "stats")], axis=1)
                 yield probabilities(row.ids, codes, before, lengths, count, stats)
 
-    told = bigrams.withColumn("answers", F.transform("answers", lambda x: F.struct(x["shard"].alias("shard"), x["counts"].alias("counts"))))
-    return held.rows.join(told, "block", "left").join(words, "block", "left").mapInPandas(finish, SCORES)
+    found = _from_turns(held.rows, bigrams, "answers", "shard", "counts")
+    found = found.join(_from_turns(held.rows, words, "known", "shard", "stats"), "block", "left")
+    return held.rows.join(found, "block", "left").mapInPandas(finish, SCORES)
+
+
+def _from_turns(rows: DataFrame, parts: list[DataFrame], name: str, *fields: str) -> DataFrame:
+    """(block, `name`): the answers to a block from all turns, as one array of these fields.
+
+    Parts lie in the blocks' buckets. They meet each other here, so that the blocks themselves, which are long rows, are joined once.
+    """
+    found, names = rows.select("block"), [f"__{name}_{i}" for i in range(len(parts))]
+    for df, own in zip(parts, names):
+        taken = F.transform(name, lambda x: F.struct(*(x[field].alias(field) for field in fields)))
+        found = found.join(df.select("block", taken.alias(own)), "block", "left")
+    return found.select("block", F.concat(*(F.coalesce(own, F.array().cast(found.schema[own].dataType)) for own in names)).alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lanewise.llm import kneser_ney
 from lanewise.llm.common import BLOCK_CHARS
+from lanewise.session import scratch, shuffles_removed, staging_path
 from lanewise.sources import stage
 
 
@@ -51,9 +53,13 @@ def classify(
     roles = stage(ids.select("__id", learns), name="roles")
 
     text = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    held = kneser_ney.blocks(text, None, max_chars, options.key_bits, False, "__id", "__text")
-    held = kneser_ney.with_training(held, roles.where("__learn").select("__id"))
-    marked = stage(kneser_ney.own_scores(held).select("doc_id", "n_tokens", "score"), name="scored")
+    spark = docs.sparkSession
+    path = staging_path(spark, "scored")
+    # Blocks, bigrams and their shuffles are many times the scores, and nothing reads them afterwards.
+    with scratch(spark, f"quality-{uuid.uuid4().hex}"), shuffles_removed(spark):
+        held = kneser_ney.blocks(text, None, max_chars, options.key_bits, False, "__id", "__text")
+        held = kneser_ney.with_training(held, roles.where("__learn").select("__id"))
+        marked = stage(kneser_ney.own_scores(held).select("doc_id", "n_tokens", "score"), path)
 
     langs = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(lang_col).cast("string").alias("lang")).groupBy("__id")
     langs = langs.agg(F.min("lang").alias("lang"))

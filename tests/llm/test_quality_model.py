@@ -1,6 +1,7 @@
 """Thresholds of the quality model: bad texts go, and a language with hardly any trusted rows is not judged by those alone."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lanewise.llm import kneser_ney, quality_model
 from lanewise.llm.queries import QUERIES
+from lanewise.session import shared_dir
 from tests.llm.test_operators import plain_lm
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -122,3 +124,28 @@ def test_own_scores_equal_those_of_a_trained_model(spark):
     ids = docs.where("doc_id % 3 = 0").select("doc_id").distinct()
     joined = kneser_ney.with_training(kneser_ney.blocks(docs, None, 500), ids)
     assert sorted(map(repr, kneser_ney.own_scores(joined).collect())) == plain
+
+
+def test_shards_take_turns_with_the_same_scores(spark, monkeypatch):
+    """In turns each key travels once, a turn may have none of a block's, and scores are those of a trained model."""
+    texts = ["", "one", None, *(" ".join(f"w{(i * j) % 23}" for j in range(40)) for i in range(30))]
+    docs = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "doc_id long, text string")
+    held = kneser_ney.blocks(docs, F.col("doc_id") % 3 != 0, 400)
+    plain = sorted(map(repr, kneser_ney.scores(held, kneser_ney.train(held)).collect()))
+    monkeypatch.setattr(kneser_ney, "TURN_TOKENS", 100)
+    staged, stage = [], kneser_ney.stage_bucketed
+    monkeypatch.setattr(kneser_ney, "stage_bucketed", lambda df, column, buckets, name: staged.append(name) or stage(df, column, buckets, name))
+    assert sorted(map(repr, kneser_ney.own_scores(held).collect())) == plain
+    assert staged == ["lm_own_bigrams"] * 4 + ["lm_own_words"] * 2
+
+
+def test_blocks_and_bigrams_are_removed(spark):
+    """Only what later steps read stays of a classification: no blocks, no bigrams, no shuffles."""
+    kept = Path(shared_dir(spark).removeprefix("file:")) / "staged"
+    before, option = set(kept.glob("*")), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    docs = spark.createDataFrame([(i, f"a b w{i % 5} c", "en") for i in range(40)], "doc_id long, text string, lang string")
+    found = quality_model.classify(docs, docs.where("doc_id < 30").select("doc_id"))
+    names = {path.name.rsplit("-", 1)[0] for path in set(kept.glob("*")) - before}
+    assert names == {"roles", "scored", "with_lang", "medians"}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == option
+    assert found.count() == 40

@@ -1,6 +1,7 @@
 """A run that breaks off goes on after its last whole step, and leaves nothing behind that was only staged."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from lanewise.config import PipelineConfig
 from lanewise.plans import job, runs
 from lanewise.session import scratch, shared_dir, staging_path
-from lanewise.sources import stage
+from lanewise.sources import stage, stage_all
 from shipment_checks import view
 from tests.conftest import SF_DIR
 
@@ -109,3 +110,12 @@ def test_scratch_removes_what_was_staged_and_what_a_lost_driver_left(spark):
 def test_a_run_needs_a_root(spark):
     with pytest.raises(ValueError, match="output_root"):
         runs.Run(spark, PipelineConfig()).finished("a")
+
+
+def test_scratch_of_one_thread_leaves_others_alone(spark):
+    with scratch(spark, "mine"):
+        with ThreadPoolExecutor(1) as pool:
+            other = pool.submit(staging_path, spark, "x").result()
+            held = stage_all({"a": spark.range(3)})["a"]
+        assert "/staged/mine/" not in other and "/staged/mine/" in staging_path(spark, "x")
+        assert "/staged/mine/" in held.inputFiles()[0]
