@@ -73,6 +73,16 @@ def test_enrich(tables):
     assert (found["t6"][name], first[name], second[name]) == (1.0, 8.0, 8.0)
 
 
+def test_shuffles_of_staged_tables_are_removed(spark, tables, monkeypatch):
+    """Only one table's shuffles lie on disk at a time; the setting is as it was when the rows themselves are read."""
+    setting, seen, stage = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], shipments.stage
+    before = spark.conf.get(setting, None)
+    monkeypatch.setattr(shipments, "stage", lambda df, name: seen.append((name, spark.conf.get(setting, None))) or stage(df, name=name))
+    found = shipments.enrich(tables, PipelineConfig())
+    assert seen == [("packages", "true"), ("offers", "true")] and spark.conf.get(setting, None) == before
+    assert found.count() == 3
+
+
 def test_a_postcode_listed_twice(spark, tables):
     """Equal entries leave no copies of a package; two states of a postcode give two rows."""
     zips = tables["zip_state"]
